@@ -4,13 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import media, mixing, packing
+from . import embeddings, language, media, mixing, packing, quality
 from .common import table
 
 
+def _remainder(k: int) -> Column:
+    """crc32 of the id as text, modulo k; a null id has the remainder 0."""
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(k)), F.lit(0))
+
+
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"), "quality", _remainder(3) != 1)
+    scored = quality.score(docs, model)
+    return scored.select("doc_id", (_remainder(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -23,8 +39,14 @@ def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_columns(table(spark, sf_dir, "documents"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(docs, _remainder(4) != 2)
+    return language.predict(docs, model).select("doc_id", (_remainder(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_best_fit_packing, op7_mixing, op8_media_columns)}
+    return {f.__name__: f for f in (op1_embedding_near_dedup, op2_quality_classifier, op5_best_fit_packing, op7_mixing, op8_media_columns, op9_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
