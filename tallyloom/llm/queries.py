@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, language, media, mixing, packing, quality
+from . import embeddings, language, media, mixing, packing, pii, quality, urls
 from .common import table
 
 
@@ -27,10 +27,18 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (_remainder(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest_columns(pii.find(table(spark, sf_dir, "documents")))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -46,7 +54,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_embedding_near_dedup, op2_quality_classifier, op5_best_fit_packing, op7_mixing, op8_media_columns, op9_language_id)}
+    return {f.__name__: f for f in (op1_embedding_near_dedup, op2_quality_classifier, op3_url_filters, op5_best_fit_packing, op6_pii, op7_mixing, op8_media_columns, op9_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
