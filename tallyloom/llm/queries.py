@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, language, media, mixing, packing, pii, quality, urls
+from . import embeddings, language, lines, media, mixing, packing, pii, quality, urls
 from .common import table
 
 
@@ -53,8 +53,12 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, model).select("doc_id", (_remainder(4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_embedding_near_dedup, op2_quality_classifier, op3_url_filters, op5_best_fit_packing, op6_pii, op7_mixing, op8_media_columns, op9_language_id)}
+    return {f.__name__: f for f in (op1_embedding_near_dedup, op2_quality_classifier, op3_url_filters, op5_best_fit_packing, op6_pii, op7_mixing, op8_media_columns, op9_language_id, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
