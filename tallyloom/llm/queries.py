@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, language, lines, media, mixing, packing, pii, quality, urls
+from . import embeddings, language, lines, media, mixing, ngrams, packing, pii, quality, urls
 from .common import table
 
 
@@ -31,6 +31,10 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -58,7 +62,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_embedding_near_dedup, op2_quality_classifier, op3_url_filters, op5_best_fit_packing, op6_pii, op7_mixing, op8_media_columns, op9_language_id, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_embedding_near_dedup, op2_quality_classifier, op3_url_filters, op4_ngram_jaccard_join, op5_best_fit_packing, op6_pii, op7_mixing, op8_media_columns, op9_language_id, op10_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
