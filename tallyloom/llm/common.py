@@ -216,7 +216,8 @@ def components(scratch: Scratch, edges: DataFrame, name: str = "components") ->
         was, seen = seen, _checksum(now)
         if was == seen:
             break
-    return now.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
+    # By now each node but the smallest of its component points to that one.
+    return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select("b", "b").distinct())
 
 
 def _checksum(edges: DataFrame) -> tuple:
