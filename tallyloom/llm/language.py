@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -189,6 +190,11 @@ def fit(chunks: list[bytes], langs: list[str], seed: int = 1) -> Model:
     return m
 
 
+def remainder(k: int) -> Column:
+    """crc32 of doc_id as text, modulo k; a null id has the remainder 0."""
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(k)), F.lit(0))
+
+
 def train(docs: DataFrame, learn: Column, rows: int = SAMPLE_ROWS) -> Model:
     """Fit on ``rows`` documents of each language for which ``learn`` (on doc_id) holds, two chunks of each.
 
@@ -206,25 +212,45 @@ def train(docs: DataFrame, learn: Column, rows: int = SAMPLE_ROWS) -> Model:
     return fit([c for c, _ in chunks], [lang for _, lang in chunks])
 
 
+def _judge(model: Model, texts: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """(language, score) of each text."""
+    import regex
+
+    letter = regex.compile(r"\p{L}").search
+    names = np.array([*model.langs, UNKNOWN], dtype=object)
+    known = np.array([t is not None and letter(t) is not None for t in texts.to_pylist()], bool)
+    best, top = np.full(len(known), len(model.langs)), np.zeros(len(known))
+    if model.langs and known.any():
+        p = probabilities(model, *utf8_view(texts))
+        best[known], top[known] = p.argmax(axis=1)[known], p.max(axis=1)[known]
+    return pa.array(names[best].tolist(), pa.string()), pa.array(np.clip(top, 0, 1), pa.float64())
+
+
+def keep_known(docs: DataFrame, model: Model, least: float) -> DataFrame:
+    """The rows of ``docs`` whose language scores ``least`` or more, with ``lang`` set to the prediction."""
+    columns = docs.columns
+    text, lang = columns.index("text"), columns.index("lang")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2000):
+                part = batch.slice(at, 2000)
+                found, score = _judge(model, part.column(text))
+                arrays = part.columns
+                arrays[lang] = found
+                keep = pa.compute.and_(pa.compute.greater_equal(score, least), pa.compute.not_equal(found, UNKNOWN))
+                yield pa.RecordBatch.from_arrays(arrays, names=columns).filter(keep)
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, lang_pred, score) for each row: one pass, no shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import regex
-
-        letter = regex.compile(r"\p{L}").search
-        names = np.array([*model.langs, UNKNOWN], dtype=object)
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
-                known = np.array([t is not None and letter(t) is not None for t in part.column(1).to_pylist()], bool)
-                best, top = np.full(len(known), len(model.langs)), np.zeros(len(known))
-                if model.langs and known.any():
-                    p = probabilities(model, *utf8_view(part.column(1)))
-                    best[known], top[known] = p.argmax(axis=1)[known], p.max(axis=1)[known]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(names[best].tolist(), pa.string()), pa.array(np.clip(top, 0, 1), pa.float64())],
-                    names=["doc_id", "lang_pred", "score"],
-                )
+                yield pa.RecordBatch.from_arrays([part.column(0), *_judge(model, part.column(1))], names=["doc_id", "lang_pred", "score"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, lang_pred string, score double")

@@ -84,10 +84,34 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share_percent: int
     edge = edge.withColumn("more", F.greatest(F.lit(0), F.least("size", left)))
     inner = rows.where(F.col("cut_bucket").isNull() | (F.col("bucket") != F.col("cut_bucket")))
     inner = inner.withColumn("more", F.when(F.col("cut_bucket").isNull() | (F.col("bucket") < F.col("cut_bucket")), F.least("size", "rest")).otherwise(F.lit(0)))
-    columns = ["doc_id", "size", "source_size", "target", (F.col("whole") * F.col("size") + F.col("more")).cast("long").alias("taken")]
+    columns = ["doc_id", "size", "source_size", "target", (F.col("whole") * F.col("size") + F.col("more")).cast("long").alias("taken"), F.when(F.col("sk") != "n", F.substring("sk", 2, 2147483647)).alias("source")]
     return edge.select(*columns).unionByName(inner.select(*columns))
 
 
+def repeat(docs: DataFrame, **weights) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it; a repetition in part is the text's first words.
+
+    Rows that share doc_id and source share what the mix takes (the most of them).  Documents without words go.
+    """
+    scratch = Scratch(docs.sparkSession)
+    taken = mix(docs, **weights).where("taken > 0").groupBy("doc_id", "source").agg(F.max("taken").alias("__taken"))
+    taken = scratch.cut(taken.withColumnRenamed("doc_id", "__id").withColumnRenamed("source", "__source"), "taken")
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    rows = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source")))
+    rows = rows.withColumn("__size", size).where("__size > 0")
+    # How many words each repetition takes: the whole size, and in the last one what is left.
+    times = F.transform(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("__taken") / F.col("__size"))), lambda k: F.least(F.col("__size"), F.col("__taken") - (k - 1) * F.col("__size")))
+    rows = rows.withColumn("__words", F.explode(times))
+    found = F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), F.col("__words").cast("int"))
+    between = F.slice(F.split("text", WORD, -1), F.lit(1), F.col("__words").cast("int"))
+    head = F.array_join(F.zip_with(between, found, lambda b, w: F.concat(b, w)), "")
+    part = F.col("__words") < F.col("__size")
+    rows = rows.withColumn("text", F.when(part, head).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        rows = rows.withColumn("n_chars", F.when(part, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return rows.select(*docs.columns)
+
+
 ORACLE_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,

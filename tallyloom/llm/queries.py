@@ -9,11 +9,7 @@ from pyspark.sql import functions as F
 
 from . import embeddings, language, lines, media, mixing, ngrams, packing, pii, quality, urls
 from .common import table
-
-
-def _remainder(k: int) -> Column:
-    """crc32 of the id as text, modulo k; a null id has the remainder 0."""
-    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(k)), F.lit(0))
+from .language import remainder
 
 
 def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,9 +18,9 @@ def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = quality.train(docs, table(spark, sf_dir, "labels"), "quality", _remainder(3) != 1)
+    model = quality.train(docs, table(spark, sf_dir, "labels"), "quality", remainder(3) != 1)
     scored = quality.score(docs, model)
-    return scored.select("doc_id", (_remainder(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return scored.select("doc_id", (remainder(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +40,7 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents"))
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
 
 def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,8 +49,8 @@ def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = language.train(docs, _remainder(4) != 2)
-    return language.predict(docs, model).select("doc_id", (_remainder(4) == 2).alias("held_out"), "lang_pred", "score")
+    model = language.train(docs, remainder(4) != 2)
+    return language.predict(docs, model).select("doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score")
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
