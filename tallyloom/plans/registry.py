@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import session
-from . import evidence, money, trust
+from . import crm, evidence, money, trust
 from .dialect import DUCK, SPARK
 
-FAMILIES = (money, evidence, trust)
+FAMILIES = (money, evidence, trust, crm)
 
 
 def _query(make: Callable) -> Callable[[SparkSession, str], DataFrame]:
