@@ -16,7 +16,9 @@ columns are ignored.
 from __future__ import annotations
 
 import bisect
+import json
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -33,8 +35,10 @@ END_ID = 1
 NEARLY_FULL = 8
 #: Rows that a partition of a later round gets at least (fewer partitions otherwise).
 ROWS_A_PARTITION = 20_000
-#: Chunks whose ids a worker keeps; beyond it the store is emptied and filled anew.
+#: Chunks of each kind whose ids a worker keeps.
 KEPT_CHUNKS = 400_000
+#: Texts whose distinct chunks are looked up together.
+TEXTS = 2048
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: White space of the tokenizer's that every Unicode text agrees on; other kinds stay inside a chunk.
@@ -51,16 +55,34 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+#: What may follow the letters of a chunk; the tokenizer cuts there.
+_TAIL = ".,;:!?%*$&#|)]}\""
+
+
 class Ids:
-    """Little-endian unsigned 32-bit ids of texts, end id included."""
+    """Little-endian unsigned 32-bit ids of texts, end id included.
+
+    Chunks met in one batch of texts are kept in ``fresh``, those met again in ``kept``; either is emptied when it is
+    full.  Chunks of letters go by a copy of the tokenizer without the normalising and cutting that they do not need.
+    """
 
     def __init__(self, path: str, end_id: int = END_ID):
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            lean = json.load(f)
+        cuts = lean["pre_tokenizer"]["pretokenizers"][1:]
+        lean |= {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, *cuts]}}
+        self.lean = Tokenizer.from_str(json.dumps(lean))
         self.end = np.array([end_id], "<u4").tobytes()
-        self.bar = np.array(self.model.encode(_BAR, add_special_tokens=False).ids, "<u4")
-        self.kept: dict[str, bytes] = {"": b""}
+        self.bar = self.encode(_BAR)
+        self.kept: dict[str, bytes] = {}
+        self.fresh: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {"": b""}
+
+    def encode(self, text: str) -> bytes:
+        return np.array(self.model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def chunks(self, text: str | None) -> list[str]:
         """Runs without white space.  ASCII texts are lower-cased, as the tokenizer does, unless a special token may be meant."""
@@ -68,51 +90,88 @@ class Ids:
             return []
         if text.isascii() and "<|" not in text:
             text = text.lower()
-        return _SPACE.split(text) if _ODD_SPACE.search(text) else text.split()
+        return [c for c in _SPACE.split(text) if c] if _ODD_SPACE.search(text) else text.split()
 
-    def learn(self, new: list[str]) -> None:
+    def together(self, model, new: list[str]) -> dict[str, bytes]:
         """Chunks are encoded many at once with bars between, which spares most of a call's cost."""
-        alone = [c for c in new if _BAR in c or "<" in c]
-        new = [c for c in new if not (_BAR in c or "<" in c)]
-        for c in alone:
-            self.kept[c] = np.array(self.model.encode(c, add_special_tokens=False).ids, "<u4").tobytes()
+        out, bar = {}, np.frombuffer(self.bar, "<u4")
+        width = len(bar)
         for at in range(0, len(new), 2000):
             part = new[at : at + 2000]
-            ids = np.array(self.model.encode_batch_fast([f" {_BAR} ".join(part)], add_special_tokens=False)[0].ids, "<u4")
-            width = len(self.bar)
+            ids = np.array(model.encode_batch_fast([f" {_BAR} ".join(part)], add_special_tokens=False)[0].ids, "<u4")
             hit = np.ones(max(0, len(ids) - width + 1), bool)
             for k in range(width):
-                hit &= ids[k : len(ids) - width + 1 + k] == self.bar[k]
+                hit &= ids[k : len(ids) - width + 1 + k] == bar[k]
             bars = np.flatnonzero(hit)
             if len(bars) != len(part) - 1:  # a chunk's own ids look like a bar
-                for c in part:
-                    self.kept[c] = np.array(self.model.encode(c, add_special_tokens=False).ids, "<u4").tobytes()
+                out |= {c: self.encode(c) for c in part}
                 continue
             data, begin = ids.tobytes(), 0
-            for c, bar in zip(part, [*bars.tolist(), len(ids)]):
-                self.kept[c] = data[4 * begin : 4 * bar]
-                begin = bar + width
+            for c, end in zip(part, [*bars.tolist(), len(ids)]):
+                out[c] = data[4 * begin : 4 * end]
+                begin = end + width
+        return out
+
+    def learn(self, new: list[str]) -> dict[str, bytes]:
+        out, plain, words, rest = {}, [], set(), []
+        for c in new:
+            word = c.rstrip(_TAIL)
+            tail = c[len(word) :]
+            low = word if word.isascii() else unicodedata.normalize("NFC", word)
+            low = low.lower()
+            if word.isalpha() and low.isalpha() and "\u03a3" not in word:
+                plain.append((c, low, tail))
+                words.add(low)
+                if tail not in self.tails:
+                    self.tails[tail] = self.encode(tail)
+            elif _BAR in c or "<" in c:
+                out[c] = self.encode(c)
+            else:
+                rest.append(c)
+        known = {w: ids for w in words if (ids := self.kept.get(w) or self.fresh.get(w)) is not None}
+        known |= self.together(self.lean, list(words.difference(known)))
+        out |= self.together(self.model, rest)
+        for c, low, tail in plain:
+            out[c] = known[low] + self.tails[tail]
+        if len(self.tails) > KEPT_CHUNKS // 10:
+            self.tails = {"": b""}
+        return out
 
     def of(self, texts: list[str | None]) -> list[bytes]:
         split = list(map(self.chunks, texts))
-        new = list({c for chunks in split for c in chunks}.difference(self.kept))
-        if len(self.kept) + len(new) > KEPT_CHUNKS:
-            self.kept = {"": b""}
-            new = list({c for chunks in split for c in chunks if c})
-        self.learn(new)
-        get = self.kept.__getitem__
+        met = {c for chunks in split for c in chunks}
+        if len(self.kept) > KEPT_CHUNKS:
+            self.kept = {}
+        self.kept |= {c: ids for c in met if (ids := self.fresh.pop(c, None)) is not None}
+        known = {c: ids for c in met if (ids := self.kept.get(c)) is not None}
+        learned = self.learn([c for c in met if c not in known])
+        if len(self.fresh) + len(learned) > KEPT_CHUNKS:
+            self.fresh = {}
+        self.fresh |= learned
+        get = (known | learned).__getitem__
         return [b"".join(map(get, chunks)) + self.end for chunks in split]
 
 
+def _worker_ids(path: str, end_id: int) -> Ids:
+    """The worker process's own store, which later tasks in it use on."""
+    import sys
+    import types
+
+    store = sys.modules.setdefault("_tallyloom_worker", types.ModuleType("_tallyloom_worker")).__dict__
+    if ("ids", path, end_id) not in store:
+        store["ids", path, end_id] = Ids(path, end_id)
+    return store["ids", path, end_id]
+
+
 def tokenise(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """One row a piece: (doc_id, piece, start, length, ids_crc32)."""
     path = path or tokenizer_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = Ids(path, end_id)
+        ids = _worker_ids(path, end_id)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(at, TEXTS)
                 rows = []
                 for doc_id, data in zip(part.column(0).to_pylist(), ids.of(part.column(1).to_pylist())):
                     for k, begin in enumerate(range(0, len(data), 4 * capacity)):
