@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import session
-from . import crm, evidence, money, trust
+from . import crm, evidence, money, steps, trust
 from .dialect import DUCK, SPARK
 
 FAMILIES = (money, evidence, trust, crm)
@@ -24,9 +24,20 @@ def _query(make: Callable) -> Callable[[SparkSession, str], DataFrame]:
     return query
 
 
+def _pinned(f: Callable) -> Callable[[SparkSession, str], DataFrame]:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return f(spark, sf_dir)
+
+    query.__name__, query.__doc__ = f.__name__, f.__doc__
+    return query
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f"q_{name}": _query(make) for family in FAMILIES for name, make in family.LENSES.items()}
+    lenses = {f"q_{name}": _query(make) for family in FAMILIES for name, make in family.LENSES.items()}
+    return lenses | {f"q_{name}": _pinned(f) for name, f in steps.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {f"q_{name}": make(DUCK) for family in FAMILIES for name, make in family.LENSES.items()}
+    lenses = {f"q_{name}": make(DUCK) for family in FAMILIES for name, make in family.LENSES.items()}
+    return lenses | {f"q_{name}": sql for name, sql in steps.SQL.items()}

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +39,17 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the one that executors share, ``spark.checkpoint.dir``; in local mode a temporary one if that is unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = f"file://{tempfile.mkdtemp(prefix='tallyloom-')}"
+        spark.conf.set("spark.checkpoint.dir", base)
+    return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
 def views(spark: SparkSession, sf_dir: str, sql: str) -> None:
     """Register the base tables that a statement names.  A view is resolved when the statement is; later ones may replace it."""
     for name in TABLES:
