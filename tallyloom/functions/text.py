@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 MONTHS = "january|february|march|april|may|june|july|august|september|october|november|december"
 
@@ -110,7 +111,7 @@ def cut_text(text: str, target: int = 2048, most: int = 2560, overlap: int = 500
     return [c for c in out if c]
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(ArrayType(StringType()))
 def chunks(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for texts in batches:
         yield texts.map(lambda t: cut_text(t) if t else [])

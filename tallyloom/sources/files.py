@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,7 @@ def rename_headers(columns: list[str], aliases: dict[str, set[str]]) -> tuple[di
     by = {normal_header(a): f for f, names in aliases.items() for a in names | {f}}
     found, unknown, seen = {}, [], {}
     for c in columns:
-        f = by.get(normal_header(c))
+        f = by.get(normal_header(c.split("\x00")[-1]))
         if f is None:
             unknown.append(c)
             continue
@@ -31,10 +32,13 @@ def rename_headers(columns: list[str], aliases: dict[str, set[str]]) -> tuple[di
 def read_report(spark: SparkSession, path: str, aliases: dict[str, set[str]], required: set[str]) -> tuple[DataFrame, list[str]]:
     """A CSV report with its headers mapped to fields; a missing required field is an error."""
     df = spark.read.csv(path, header=True, multiLine=True)
-    found, unknown = rename_headers(df.columns, aliases)
+    # Spark renames headers that differ in case alone; their own names come from the first line.
+    df = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    names = next(csv.reader([spark.read.text(path).first()[0]]))
+    found, unknown = rename_headers([f"{i}\x00{c}" for i, c in enumerate(names)], aliases)
     if missing := required - set(found.values()):
         raise ValueError(f"missing fields: {sorted(missing)}")
-    return df.select(*[F.col(f"`{c}`").alias(f) for c, f in found.items()]), unknown
+    return df.select(*[F.col(f"c{c.split(chr(0))[0]}").alias(f) for c, f in found.items()]), [c.split("\x00")[1] for c in unknown]
 
 
 def read_json_folder(spark: SparkSession, path: str, schema: str, lines: bool = False) -> DataFrame:
