@@ -34,8 +34,18 @@ BLOCK = 48
 EIGHTHS = 8
 
 
-def normal(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(line), "[0-9]+", "0"), r"\s+", " "))
+def normal(lines: Column) -> Column:
+    """The normal forms of an array of lines.
+
+    Replacing costs ten times what searching does, and few lines need it.  Made as an array, and not by steps over
+    rows, so that a filter on the form does not compute it a second time.
+    """
+
+    def settle(low: Column) -> Column:
+        replaced = F.regexp_replace(F.regexp_replace(low, "[0-9]+", "0"), r"\s+", " ")
+        return F.trim(F.when(low.rlike(r"[0-9\t\x0B\f\r\n]|  "), replaced).otherwise(low))
+
+    return F.transform(F.transform(lines, F.lower), settle)
 
 
 def _segment(length: Column, i: int, edits: int) -> tuple[Column, Column]:
@@ -62,20 +72,52 @@ def keys(form: Column, length: Column, edits: int) -> tuple[Column, Column]:
     return F.array(*index), F.array_distinct(F.array(*probes))
 
 
+def _shared(a: Column, b: Column, most: Column, end: bool) -> Column:
+    """Length of a common prefix (suffix with ``end``), the longest one if it is under 2 ** 17: found by doubling steps."""
+    part = F.right if end else F.left
+
+    def step(k: Column, p: Column) -> Column:
+        more = k + p
+        return F.when((more <= most) & (part(a, more) == part(b, more)), more).otherwise(k)
+
+    return F.aggregate(F.array(*[F.lit(1 << t) for t in range(16, -1, -1)]), F.lit(0), step)
+
+
 def within(a: Column, b: Column, edits: int) -> Column:
-    """Whether two strings (arrays of characters, lengths at least ``edits`` and at most that apart) are within ``edits`` edits.
+    """Whether two strings of at least 2 * ``edits`` characters, no more than ``edits`` apart in length, are within ``edits`` edits.
+
+    What they share at both ends is cut off (but for ``edits`` characters); the rest goes through the band.
+    """
+    least = F.least(F.length(a), F.length(b))
+
+    def tail(x: Column) -> Column:  # x: a, b, start
+        shared = _shared(x["a"], x["b"], F.least(F.length(x["a"]), F.length(x["b"])), True)
+        keep = F.greatest(F.lit(0), shared - edits)
+        cut = lambda v: F.split(F.left(v, F.length(v) - keep), "")
+        return F.struct(cut(x["a"]).alias("a"), cut(x["b"]).alias("b"))
+
+    skip = F.greatest(F.lit(0), _shared(a, b, least, False) - edits)
+    # One-row arrays bind a value to a name, so that it is computed once.
+    heads = F.transform(F.array(skip), lambda k: F.struct(F.substring(a, k + 1, F.length(a)).alias("a"), F.substring(b, k + 1, F.length(b)).alias("b")))
+    return F.transform(F.transform(heads, tail), lambda x: banded(x["a"], x["b"], edits))[0]
+
+
+def banded(a: Column, b: Column, edits: int) -> Column:
+    """Whether two arrays of characters (lengths at least ``edits``, at most that apart) are within ``edits`` edits.
 
     Banded bit-parallel: bit t of a word stands for row j + edits - (top - t) of column j, so the band moves down one
-    row with each character of b.  The distance is followed down the band's lowest diagonal and then along the last row.
+    row with each character of b.  The distance is followed down the band's lowest diagonal and then along the last
+    row; once it is more than the last row could take back, the remaining characters are passed over.
     """
     width = 2 * edits + 2
     top, mask = width - 1, (1 << width) - 1
     m, n = F.size(a), F.size(b)
     low = F.lit(0).cast("long")
+    lost = 2 * edits + n - m
 
     def step(s: Column, j: Column) -> Column:
         c = F.get(b, j - 1)
-        hits = [F.when((j + edits - top + t >= 1) & (F.get(a, j + edits - top + t - 1) == c), F.lit(1 << t).cast("long")).otherwise(low) for t in range(width)]
+        hits = [F.when((j + (edits - top + t) >= 1) & (F.get(a, j + (edits - top + t - 1)) == c), F.lit(1 << t).cast("long")).otherwise(low) for t in range(width)]
         x = hits[0]
         for h in hits[1:]:
             x = x.bitwiseOR(h)
@@ -84,21 +126,26 @@ def within(a: Column, b: Column, edits: int) -> Column:
     def advance(s: Column) -> Column:
         vp, vn, x, j = s["vp"], s["vn"], s["x"], s["j"]
         full = F.lit(mask).cast("long")
-        inv = lambda v: full.bitwiseXOR(v)
         d0 = (x.bitwiseAND(vp) + vp).bitwiseXOR(vp).bitwiseOR(x).bitwiseOR(vn).bitwiseAND(full)
-        hp = vn.bitwiseOR(inv(d0.bitwiseOR(vp)))
-        hn = d0.bitwiseAND(vp)
+        return F.struct(vp.alias("vp"), vn.alias("vn"), d0.alias("d0"), s["dist"].alias("dist"), j.alias("j"), vn.bitwiseOR(full.bitwiseXOR(d0.bitwiseOR(vp))).alias("hp"), d0.bitwiseAND(vp).alias("hn"))
+
+    def settle(s: Column) -> Column:
+        d0, hp, hn, j = s["d0"], s["hp"], s["hn"], s["j"]
+        full = F.lit(mask).cast("long")
         half = F.shiftright(d0, 1)
-        down = j <= m - edits
-        at = F.lit(top - 1) - (j - (m - edits) - 1)
-        bit = F.element_at(F.array(*[F.lit(1 << t).cast("long") for t in range(width)]), F.greatest(F.lit(1), F.least(F.lit(width), at + 1)).cast("int"))
+        at = F.greatest(F.lit(1), F.least(F.lit(width), F.lit(top) - (j - (m - edits) - 1))).cast("int")
+        bit = F.element_at(F.array(*[F.lit(1 << t).cast("long") for t in range(width)]), at)
         along = (hp.bitwiseAND(bit) != 0).cast("int") - (hn.bitwiseAND(bit) != 0).cast("int")
-        dist = s["dist"] + F.when(down, (d0.bitwiseAND(F.lit(1 << top).cast("long")) == 0).cast("int")).otherwise(along)
-        return F.struct(hn.bitwiseOR(inv(half.bitwiseOR(hp))).alias("vp"), half.bitwiseAND(hp).alias("vn"), dist.alias("dist"))
+        dist = s["dist"] + F.when(j <= m - edits, (d0.bitwiseAND(F.lit(1 << top).cast("long")) == 0).cast("int")).otherwise(along)
+        return F.struct(hn.bitwiseOR(full.bitwiseXOR(half.bitwiseOR(hp))).alias("vp"), half.bitwiseAND(hp).alias("vn"), dist.alias("dist"))
+
+    def move(s: Column, j: Column) -> Column:
+        done = F.transform(F.transform(F.array(step(s, j)), advance), settle)[0]
+        return F.when(s["dist"] > lost, s).otherwise(done)
 
     first = F.lit(mask - ((1 << (top - edits)) - 1)).cast("long")
     begin = F.struct(first.alias("vp"), low.alias("vn"), F.lit(edits).alias("dist"))
-    return F.aggregate(F.sequence(F.lit(1), n), begin, lambda s, j: F.transform(F.array(step(s, j)), advance)[0], lambda s: s["dist"] <= edits)
+    return F.aggregate(F.sequence(F.lit(1), n), begin, move, lambda s: s["dist"] <= edits)
 
 
 def _alike(a: Column, b: Column, edits: int) -> Column:
@@ -113,8 +160,8 @@ def _alike(a: Column, b: Column, edits: int) -> Column:
 
 
 def _occurrences(docs: DataFrame, edits: int) -> DataFrame:
-    split = docs.select("doc_id", F.posexplode(F.split(F.coalesce(F.col("text"), F.lit("")), "\n")).alias("pos", "line"))
-    formed = split.select("doc_id", "pos", normal(F.col("line")).alias("form"))
+    forms = normal(F.split(F.coalesce(F.col("text"), F.lit("")), "\n"))
+    formed = docs.select("doc_id", F.posexplode(forms).alias("pos", "form"))
     formed = formed.where(F.length("form") >= MIN_CHARS)
     index, probes = keys(F.col("form"), F.length("form"), edits)
     return formed.select("doc_id", "pos", F.unhex(F.md5("form")).alias("id"), index.alias("index"), probes.alias("probes"))
@@ -130,21 +177,22 @@ def links(scratch: Scratch, docs: DataFrame, lines: DataFrame, edits: int) -> Da
     met = scratch.cut(met, "met")
     # The texts of the lines that met another: from the place where each line stands first.
     needed = met.select("id").distinct().join(lines.select("id", "first"), "id").select("id", F.col("first.doc_id").alias("doc_id"), F.col("first.pos").alias("pos"))
-    form = normal(F.get(F.split("text", "\n"), F.col("pos")))
+    form = F.get(normal(F.array(F.get(F.split("text", "\n"), F.col("pos")))), 0)
     texts = docs.where("text is not null").select("doc_id", "text").join(needed, "doc_id").select("id", form.alias("form"))
     texts = scratch.cut(texts.where(F.unhex(F.md5("form")) == F.col("id")).dropDuplicates(["id"]), "texts")
     met = block_pairs(met, "key", "id", "m", BLOCK).join(texts, "id")
+    # As many tasks as the session has, for the work is in the pairs, not in the bytes by which tasks are merged.
+    met = met.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key", "block_i", "block_j")
     row = F.struct("block", "index", "id", "form")
     groups = met.groupBy("key", "block_i", "block_j").agg(F.collect_list(row).alias("rows"))
     left, right = F.filter("rows", lambda r: r["block"] == F.col("block_i")), F.filter("rows", lambda r: r["block"] == F.col("block_j"))
-    chars = lambda r: F.split(r["form"], "")
 
     def partners(x: Column) -> Column:
         def good(y: Column) -> Column:
             fits = (x["id"] != y["id"]) & (x["index"] | y["index"]) & (F.abs(F.length(x["form"]) - F.length(y["form"])) <= edits)
             once = (F.col("block_i") != F.col("block_j")) | (x["id"] < y["id"])
             near = F.when(fits & once, _alike(x["form"], y["form"], edits))
-            return F.coalesce(F.when(near, within(chars(x), chars(y), edits)), F.lit(False))
+            return F.coalesce(F.when(near, within(x["form"], y["form"], edits)), F.lit(False))
 
         return F.transform(F.filter(F.col("right"), good), lambda y: F.struct(F.least(x["id"], y["id"]).alias("a"), F.greatest(x["id"], y["id"]).alias("b")))
 
