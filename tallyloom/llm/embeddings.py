@@ -14,7 +14,7 @@
 
 Defined results: vectors that are null, empty, zero, or hold a null or a non-finite component, and rows whose label is
 null, link with nothing and are their own component; vectors of different lengths never link; rows that share a vec_id
-count as one node of the link graph; other columns are ignored; an empty table gives an empty table.
+count as one node of the link graph; a row whose vec_id is null has links only if an equal one has a vec_id; other columns are ignored; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -140,7 +140,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, cell_rows:
     rows = scratch.cut(rows.withColumn("digest", F.when(F.col("usable"), digest)), "rows")
     usable_rows = rows.where("usable")
     classes = usable_rows.groupBy("digest").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.first("label").alias("label"), F.first("embedding").alias("embedding"))
-    classes = scratch.cut(classes.withColumn("dims", F.size("embedding")), "classes")
+    classes = scratch.cut(classes.where("rep is not null").withColumn("dims", F.size("embedding")), "classes")
     per = {r["dims"]: r["n"] for r in classes.groupBy("dims").agg(F.count("*").alias("n")).collect()}  # one row a vector length
     centroids = {}
     for dims, n in per.items():
