@@ -169,6 +169,26 @@ def block_pairs(df: DataFrame, key: str, member: str, count: str, size: int) ->
     )
 
 
+#: Bits of the filter of ``maybe_in``: 1 MB, whatever the number of keys.
+FILTER_BITS = 1 << 23
+
+
+def maybe_in(df: DataFrame, key: str, keys: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """The rows of ``df`` whose ``key`` may be among ``keys`` (one column): none that is is lost, few others stay.
+
+    For wide rows that a join would shuffle in vain.  The filter is a bitmap of a fixed size, in rows of 4 KB, so it
+    may be broadcast; with very many keys it lets more through, and the join that follows is what decides.
+    """
+    spot = lambda c: F.pmod(F.xxhash64(F.lit(29), c), F.lit(bits).cast("long"))
+    spots = keys.select(spot(F.col(keys.columns[0])).alias("__s")).distinct()
+    bitmap = spots.groupBy(F.bitmap_bucket_number("__s").alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("__s")).alias("__bits"))
+    marked = df.withColumn("__s", spot(F.col(key))).withColumn("__bucket", F.bitmap_bucket_number("__s")).withColumn("__at", F.bitmap_bit_position("__s"))
+    joined = marked.join(F.broadcast(bitmap), "__bucket")
+    byte = F.conv(F.hex(F.substring("__bits", F.floor(F.col("__at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.floor(byte / F.element_at(F.array(*[F.lit(1 << k) for k in range(8)]), (F.col("__at") % 8 + 1).cast("int"))) % 2 == 1
+    return joined.where(hit).select(*df.columns)
+
+
 class Union:
     """Union-find over positions 0 to n-1; the root of a set is its smallest position."""
 

@@ -13,7 +13,8 @@ all its words).  Documents whose sets have a Jaccard similarity of ``THRESHOLD``
    rest verified exactly on their sets, in blocks again, which yields each row's number of links and a forest.
 5. Components of those are the classes; the smallest doc_id of a class is kept.
 
-Defined results: a null text, or one without words, has no links and is its own class; equal texts with words always
+Defined results: a null text, or one without words, has no links and is its own class; a row whose doc_id is null has
+links only if a row with a doc_id has the same text; equal texts with words always
 are linked; repeated rows count as copies; other columns are ignored; an empty table gives an empty table.  Runs are
 compared by 64-bit hashes.
 """
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, Union, block_pairs, components, map_groups, utf8_view
+from .common import Scratch, Union, block_pairs, components, map_groups, maybe_in, utf8_view
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -288,7 +289,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5("text").alias("digest"), "text")
     sketches = rows.mapInArrow(_sketch, "doc_id long, digest string, runs long, sig binary").where("runs > 0")
     classes = sketches.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.first("sig").alias("sig"))
-    classes = scratch.cut(classes, "classes")
+    classes = scratch.cut(classes.where("rep is not null"), "classes")
     # Buckets with two members or more.
     keyed = classes.select("rep", "sig").mapInArrow(_bands, "key long, rep long")
     met = scratch.cut(keyed.withColumn("m", F.count("*").over(Window.partitionBy("key"))).where("m > 1"), "met")
@@ -301,7 +302,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     families = components(scratch, forest)
     families = families.withColumn("m", F.count("*").over(Window.partitionBy("component")))
     families = scratch.cut(families.withColumnRenamed("node", "rep").join(classes.select("rep", "n", "digest"), "rep"), "families")
-    texts = rows.select("doc_id", "digest", "text").join(families.withColumnRenamed("digest", "d"), (F.col("doc_id") == F.col("rep")) & (F.col("digest") == F.col("d")))
+    texts = maybe_in(rows, "doc_id", families.select("rep"))
+    texts = texts.select("doc_id", "digest", "text").join(families.withColumnRenamed("digest", "d"), (F.col("doc_id") == F.col("rep")) & (F.col("digest") == F.col("d")))
     texts = texts.dropDuplicates(["rep", "digest"]).select("component", "rep", "n", "m", "text")
     texts = block_pairs(texts, "component", "rep", "m", TEXT_BLOCK)
     linked = scratch.cut(map_groups(texts, ["component", "block_i", "block_j"], _verify(threshold, least), "rep long, links long, to long"), "linked")
