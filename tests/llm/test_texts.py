@@ -191,6 +191,19 @@ def test_revealing_terms_are_generalised(spark):
     assert not any("term" in r.spans for r in pii.digest_columns(pii.find(copies)).collect())
 
 
+def test_terms_of_rare_entities_far_away_and_everywhere(spark):
+    far = "and so on " * 20
+    rows = [(k, f"Qx7 first {far} u{k}@acme.org {far} qx7 last {k}") for k in range(2)] + [(9, "both 1.2.3.4 zebra"), (10, "ZEBRA both 1.2.3.4 x")]
+    rows += [(100 + k, f"plain {k} both first last x {far}") for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: [s.value for s in r.spans if s.kind == "term"] for r in pii.find(docs).collect()}
+    # Each address stands in one text: its domain tells.  The term is short, has a digit and stands far off, twice.
+    assert found[0] == found[1] == ["Qx7", "qx7"]
+    assert found[9] == ["zebra"] and found[10] == ["ZEBRA"] and not any(found[100 + k] for k in range(300))
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+    assert clean[0] == f"[TERM] first {far} [EMAIL] {far} [TERM] last 0" and clean[10] == "[TERM] both [IP] x"
+
+
 def test_private_data_of_awkward_rows(spark):
     assert pii.digest_columns(pii.find(clashing(awkward(spark)))).count() == 10
     assert pii.find(empty(spark)).count() == 0
