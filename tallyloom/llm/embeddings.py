@@ -5,8 +5,8 @@
 2. Spherical k-means on a bounded sample gives cells; their number grows with the rows.  A class belongs to its nearest
    cell, and visits each later-numbered cell behind whose border a partner may lie: for unit vectors x and y with
    cosine at least t, |x - y| <= sqrt(2 - 2 t); y lies beyond the border between cells c and d only if (x.c - x.d) /
-   |c - d| is at most the part of x - y along c - d.  That part is |x - y| at most and has a standard deviation of
-   |x - y| / sqrt(dimensions); ``MARGIN`` deviations are allowed for (at most the certain bound).
+   |c - d| is at most the part of x - y along c - d.  That part is |x - y| at most; by default all of it is allowed for,
+   so no pair is missed however the differences lie (``margin`` allows for that many times |x - y| / sqrt(dimensions)).
 3. Rows of a (label, cell) meet in blocks of ``BLOCK`` rows, each two in just one pair of blocks, so no task ever holds
    more than two blocks however many rows a cell has.  A block pair gives, per row, how many vectors it links to, and
    the edges of a spanning forest: as many rows as it got at most.
@@ -34,7 +34,7 @@ CELL_ROWS = 2048  #: classes a cell, on average
 MOST_CELLS = 1024
 SAMPLE_ROWS = 16_384  #: classes that the cells are fitted on
 ROUNDS = 8
-MARGIN = 5.0
+MARGIN = float("inf")  #: the certain bound
 BLOCK = 2048
 
 
@@ -87,7 +87,7 @@ def _visits(classes: DataFrame, centroids: dict[int, np.ndarray], threshold: flo
                     sims = _unit(_matrix(part.column("embedding"), dims)) @ c.T
                     home = sims.argmax(axis=1)
                     lead = sims[np.arange(len(home)), home][:, None] - sims
-                    visits = (lead <= allowed * gaps[home]) & (np.arange(len(c))[None, :] >= home[:, None])
+                    visits = (lead <= allowed * gaps[home] + 1e-9) & (np.arange(len(c))[None, :] >= home[:, None])
                     visits[np.arange(len(home)), home] = True
                     row, cell = np.nonzero(visits)
                     for lo in range(0, len(row), 20_000):

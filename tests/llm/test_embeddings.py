@@ -46,6 +46,17 @@ def test_against_all_pairs_over_many_cells_and_blocks(spark):
     check(spark, rows, cell_rows=60, block=32, margin=8.0)
 
 
+def test_differences_along_the_line_between_centroids(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(240):
+        v = rng.standard_normal(64) * 0.005  # 64 dimensions, nearly all of the spread in two
+        turn = 2 * np.pi * rng.random()
+        v[:2] += np.cos(turn), np.sin(turn)
+        rows.append((i, [float(x) for x in v], 0))
+    check(spark, rows, cell_rows=24)
+
+
 def test_what_links_with_nothing(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, None, 1), (1, [0.0, 0.0], 1), (2, [1.0, nan], 1), (3, [inf, 1.0], 1), (4, [1.0, None], 1), (5, [1.0, 0.0], None), (6, [1.0, 0.0], 1), (7, [2.0, 0.0], 1), (8, [1.0, 0.0, 0.0], 1), (9, [], 1), (10, [1.0, 0.0], 2), (11, [-1.0, 0.0], 1), (12, [1e-30, 0.0], 1)]
