@@ -3,7 +3,8 @@
 Lines are compared in a normal form (lower case, digit runs as one 0, runs of white space as one space, trimmed).
 Equal forms are one line from the first aggregation on, so a line that a third of all documents hold is one row.
 
-Lines of at least ``MIN_CHARS`` characters within ``EDITS`` edits of each other are linked:
+All forms but the empty one are compared for equality.  Those of at least EDITS + 1 characters (so that no segment is
+empty) within ``EDITS`` edits of each other are linked:
 
 * A line of length n is cut into EDITS + 1 segments as even as can be; EDITS edits leave one of them as it was.  Each
   segment is an index entry (segment number, n, its text), hashed.
@@ -16,8 +17,8 @@ Lines of at least ``MIN_CHARS`` characters within ``EDITS`` edits of each other
 
 Linked lines form classes; of each class the first line (by doc_id, then place) is kept.
 
-Defined results: a null text has no lines and stays null; lines shorter than ``MIN_CHARS`` (empty ones among them) are
-never linked or removed; rows that share a doc_id share places, so the same line at the same place of both is kept in
+Defined results: a null text has no lines and stays null; empty lines are never linked or removed, and lines of up to
+EDITS characters only join their copies; rows that share a doc_id share places, so the same line at the same place of both is kept in
 both; other columns stay as they are; an empty table gives an empty table.
 """
 
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from .common import Scratch, block_pairs, components
 
 EDITS = 2
-MIN_CHARS = 24
+MIN_CHARS = 1
 BLOCK = 48
 EIGHTHS = 8
 
@@ -57,8 +58,8 @@ def _segment(length: Column, i: int, edits: int) -> tuple[Column, Column]:
 
 
 def keys(form: Column, length: Column, edits: int) -> tuple[Column, Column]:
-    """(index keys, probe keys) of a line."""
-    key = lambda i, n, place, size: F.xxhash64(F.lit(i), n.cast("int"), F.substring(form, place, size))
+    """(index keys, probe keys) of a line; none for lengths at which a segment would be empty."""
+    key = lambda i, n, place, size: F.when((length > edits) & (n > edits), F.xxhash64(F.lit(i), n.cast("int"), F.substring(form, place, size)))
     index, probes = [], []
     for d in range(edits + 1):
         n = length - d
@@ -69,7 +70,7 @@ def keys(form: Column, length: Column, edits: int) -> tuple[Column, Column]:
             for shift in range(max(-(i - 1), d - (edits + 1 - i)), min(i - 1, d + edits + 1 - i) + 1):
                 if d or shift > 0:
                     probes.append(key(i, n, place + shift, size))
-    return F.array(*index), F.array_distinct(F.array(*probes))
+    return F.array_compact(F.array(*index)), F.array_distinct(F.array_compact(F.array(*probes)))
 
 
 def _shared(a: Column, b: Column, most: Column, end: bool) -> Column:
@@ -84,7 +85,7 @@ def _shared(a: Column, b: Column, most: Column, end: bool) -> Column:
 
 
 def within(a: Column, b: Column, edits: int) -> Column:
-    """Whether two strings of at least 2 * ``edits`` characters, no more than ``edits`` apart in length, are within ``edits`` edits.
+    """Whether two strings of at least ``edits`` characters, no more than ``edits`` apart in length, are within ``edits`` edits.
 
     What they share at both ends is cut off (but for ``edits`` characters); the rest goes through the band.
     """

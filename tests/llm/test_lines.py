@@ -107,3 +107,20 @@ def test_awkward_rows(spark):
     df = clashing(awkward(spark))
     kept = lines.remove(df)
     assert kept.columns == df.columns and kept.count() == 9  # the copy in document 2 goes
+
+
+def test_banded_distance_of_short_strings(spark):
+    rng = random.Random(5)
+    pairs = {("".join(rng.choice("ab1") for _ in range(rng.randint(3, 8))), "".join(rng.choice("ab1") for _ in range(rng.randint(3, 8)))) for _ in range(600)}
+    rows = [p for p in pairs if abs(len(p[0]) - len(p[1])) <= 2]
+    got = spark.createDataFrame(rows, "a string, b string").select("a", "b", (lines._alike(F.col("a"), F.col("b"), 2) & lines.within(F.col("a"), F.col("b"), 2)).alias("w")).collect()
+    assert all(r.w == (distance(r.a, r.b) <= 2) for r in got)
+
+
+def report(spark, rows):
+    return {r.doc_id: (r.n_links, r.removed, r.kept_by) for r in lines.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+
+
+def test_short_lines(spark):
+    got = report(spark, [(1, "Menu\nx\n\nqrs"), (2, "menu\nX\n\nabcdefgh"), (3, "men\nx\nabcdefghijkl")])
+    assert got == {1: (1, [], []), 2: (1, [0, 1], [1, 1]), 3: (1, [0, 1], [1, 1])}
