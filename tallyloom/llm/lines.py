@@ -1,6 +1,6 @@
 """Line dedup by a segment-partition edit join, with native operations only.
 
-Lines are compared in a normal form (lower case, digit runs as one 0, runs of white space as one space, trimmed).
+Lines are compared in a normal form (lower case, runs of white space as one space, trimmed).
 Equal forms are one line from the first aggregation on, so a line that a third of all documents hold is one row.
 
 All forms but the empty one are compared for equality.  Those of at least EDITS + 1 characters (so that no segment is
@@ -43,8 +43,7 @@ def normal(lines: Column) -> Column:
     """
 
     def settle(low: Column) -> Column:
-        replaced = F.regexp_replace(F.regexp_replace(low, "[0-9]+", "0"), r"\s+", " ")
-        return F.trim(F.when(low.rlike(r"[0-9\t\x0B\f\r\n]|  "), replaced).otherwise(low))
+        return F.trim(F.when(low.rlike(r"[\t\x0B\f\r\n]|  "), F.regexp_replace(low, r"\s+", " ")).otherwise(low))
 
     return F.transform(F.transform(lines, F.lower), settle)
 

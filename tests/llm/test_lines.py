@@ -124,3 +124,13 @@ def report(spark, rows):
 def test_short_lines(spark):
     got = report(spark, [(1, "Menu\nx\n\nqrs"), (2, "menu\nX\n\nabcdefgh"), (3, "men\nx\nabcdefghijkl")])
     assert got == {1: (1, [], []), 2: (1, [0, 1], [1, 1]), 3: (1, [0, 1], [1, 1])}
+
+
+def test_digits_are_content(spark):
+    got = report(spark, [(1, "Invoice 4711 total 1999 EUR due"), (2, "Invoice 8 total 35 EUR due"), (3, "Invoice 4712 total 1998 EUR due")])
+    assert got == {1: (1, [], []), 2: (0, [], []), 3: (1, [0], [1])}
+
+
+def test_all_pairs_with_digits_kept(spark, monkeypatch):
+    monkeypatch.setitem(globals(), "form", lambda line: re.sub(r"\s+", " ", line.lower()).strip())
+    test_against_all_pairs(spark, monkeypatch)
