@@ -15,7 +15,7 @@ empty) within ``EDITS`` edits of each other are linked:
   out, never the pairs.  A pair is first held to EIGHTHS (all but EDITS of them must recur within EDITS places), then
   verified by a banded bit-parallel edit distance: one column of the band is one machine word.
 
-Linked lines form classes; of each class the first line (by doc_id, then place) is kept.
+Linked lines form classes; of each class the first line (by doc_id, nulls last, then place) is kept.
 
 Defined results: a null text has no lines and stays null; empty lines are never linked or removed, and lines of up to
 EDITS characters only join their copies; rows that share a doc_id share places, so the same line at the same place of both is kept in
@@ -179,6 +179,10 @@ def links(scratch: Scratch, docs: DataFrame, lines: DataFrame, edits: int) -> Da
     needed = met.select("id").distinct().join(lines.select("id", "first"), "id").select("id", F.col("first.doc_id").alias("doc_id"), F.col("first.pos").alias("pos"))
     form = F.get(normal(F.array(F.get(F.split("text", "\n"), F.col("pos")))), 0)
     texts = docs.where("text is not null").select("doc_id", "text").join(needed, "doc_id").select("id", form.alias("form"))
+    # Lines that stand in no document with an id: by their digest.
+    loose = docs.where("doc_id is null").select(F.explode(normal(F.split("text", "\n"))).alias("form")).distinct()
+    loose = loose.withColumn("id", F.unhex(F.md5("form"))).join(needed.where("doc_id is null").select("id"), "id").select("id", "form")
+    texts = texts.unionByName(loose)
     texts = scratch.cut(texts.where(F.unhex(F.md5("form")) == F.col("id")).dropDuplicates(["id"]), "texts")
     met = block_pairs(met, "key", "id", "m", BLOCK).join(texts, "id")
     # As many tasks as the session has, for the work is in the pairs, not in the bytes by which tasks are merged.
@@ -204,7 +208,7 @@ def links(scratch: Scratch, docs: DataFrame, lines: DataFrame, edits: int) -> Da
 def judge(docs: DataFrame, edits: int = EDITS) -> tuple[Scratch, DataFrame]:
     """(doc_id, pos, keeper, links) for each line that has a copy or a link: ``keeper`` is (doc_id, pos) of its class's kept line."""
     scratch = Scratch(docs.sparkSession)
-    place = F.struct("doc_id", "pos")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "pos")  # nulls last
     lines = _occurrences(docs, edits).groupBy("id").agg(F.count("*").alias("n"), F.min(place).alias("first"), F.first("index").alias("index"), F.first("probes").alias("probes"))
     lines = scratch.cut(lines, "lines")
     linked = links(scratch, docs, lines, edits)
@@ -222,7 +226,7 @@ def judge(docs: DataFrame, edits: int = EDITS) -> tuple[Scratch, DataFrame]:
 
 
 def _removed() -> Column:
-    return ~F.struct("doc_id", "pos").eqNullSafe(F.col("keeper"))
+    return ~F.struct("doc_id", "pos").eqNullSafe(F.struct("keeper.doc_id", "keeper.pos"))
 
 
 def report(docs: DataFrame, edits: int = EDITS) -> DataFrame:

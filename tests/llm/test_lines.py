@@ -131,6 +131,12 @@ def test_digits_are_content(spark):
     assert got == {1: (1, [], []), 2: (0, [], []), 3: (1, [0], [1])}
 
 
+def test_a_row_without_an_id_loses_no_link(spark):
+    a, b, c = "a long and steady title of some page", "a long and steadi title of some page", "another line that only rows without an id hold"
+    got = report(spark, [(None, f"{a}\n{c}"), (1, a), (2, b), (3, c.replace("only", "onli"))])
+    assert got == {None: (2, [0, 1], [1, 3]), 1: (1, [], []), 2: (1, [0], [1]), 3: (1, [], [])}
+
+
 def test_all_pairs_with_digits_kept(spark, monkeypatch):
     monkeypatch.setitem(globals(), "form", lambda line: re.sub(r"\s+", " ", line.lower()).strip())
     test_against_all_pairs(spark, monkeypatch)
