@@ -302,9 +302,10 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     families = components(scratch, forest)
     families = families.withColumn("m", F.count("*").over(Window.partitionBy("component")))
     families = scratch.cut(families.withColumnRenamed("node", "rep").join(classes.select("rep", "n", "digest"), "rep"), "families")
-    texts = maybe_in(rows, "doc_id", families.select("rep"))
+    # Each text once before the join, so that copies under one id are not shuffled.
+    texts = maybe_in(rows, "doc_id", families.select("rep")).dropDuplicates(["doc_id", "digest"])
     texts = texts.select("doc_id", "digest", "text").join(families.withColumnRenamed("digest", "d"), (F.col("doc_id") == F.col("rep")) & (F.col("digest") == F.col("d")))
-    texts = texts.dropDuplicates(["rep", "digest"]).select("component", "rep", "n", "m", "text")
+    texts = texts.select("component", "rep", "n", "m", "text")
     texts = block_pairs(texts, "component", "rep", "m", TEXT_BLOCK)
     linked = scratch.cut(map_groups(texts, ["component", "block_i", "block_j"], _verify(threshold, least), "rep long, links long, to long"), "linked")
     links = linked.groupBy("rep").agg(F.sum("links").alias("links"))
@@ -319,6 +320,23 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One document of each class: the one with the smallest doc_id (of rows that share it, the first in the texts' order)."""
-    classes = near_duplicates(docs, threshold).where(~F.col("kept")).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(Scratch(docs.sparkSession).cut(classes, "dropped"), F.col("doc_id") == F.col("__id"), "left_anti")
+    """One row of each class: the first by doc_id (nulls last), then digest; of rows equal in both, any one.
+
+    Classes are those of the texts, not of the ids: a text's node is its 64-bit hash, so texts that share a doc_id, or
+    have none, are judged each for itself.  Texts without a word are in no class, and all their rows stay.
+    """
+    scratch, text = Scratch(docs.sparkSession), F.xxhash64("text")
+    nodes = near_duplicates(docs.select(text.alias("doc_id"), "text"), threshold).where("n_links > 0")
+    nodes = scratch.cut(nodes.select(F.col("doc_id").alias("__node"), F.col("class_id").alias("__class")).distinct(), "nodes")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.md5("text").alias("digest"))
+    rows = docs.select(text.alias("__node"), place.alias("place")).groupBy("__node", "place").agg(F.count("*").alias("n")).join(nodes, "__node")
+    first = rows.groupBy("__class").agg(F.min(F.struct("place", "n")).alias("__first"))
+    known = scratch.cut(nodes.join(first, "__class"), "known")
+    joined = docs.withColumn("__node", text).join(known, "__node", "left")
+    is_first = F.col("__first").isNotNull() & place.eqNullSafe(F.col("__first.place"))
+    stays = joined.where(F.col("__first").isNull() | (is_first & (F.col("__first.n") == 1))).select(*docs.columns)
+    # Rows that repeat the first one's id and text: few, so that only they are shuffled.
+    again = known.where("__first.n > 1")
+    again = maybe_in(docs.withColumn("__node", text), "__node", again.select("__node")).join(again, "__node").where(is_first)
+    again = again.groupBy("__class").agg(F.first(F.struct(*docs.columns)).alias("__row")).select("__row.*")
+    return stays.unionByName(again)

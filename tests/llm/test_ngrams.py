@@ -70,3 +70,13 @@ def test_awkward_rows(spark):
     assert (1, 1, 2) in got and (2, 1, 2) in got and (3, 3, 0) in got and (4, 4, 0) in got and (5, 5, 0) in got and len(got) == 10
     assert ngrams.near_duplicates(empty(spark)).count() == 0
     assert ngrams.keep_one(clashing(awkward(spark))).count() == 9
+
+
+def test_one_row_of_each_class_stays(spark):
+    a, b, near = "the quick brown fox jumps over the lazy dog again and again", "a text of its own that has nothing to do with foxes", " ".join(f"w{k}" for k in range(60))
+    rows = [(5, a, "x"), (5, a, "y"), (7, a, "x"), (None, a, "x"), (7, b, "x"), (None, near, "x"), (None, near, "x"), (None, near + " end", "x"), (8, None, "x"), (8, None, "x"), (9, "", "x"), (9, "", "x")]
+    kept = [(r.doc_id, r.text) for r in ngrams.keep_one(spark.createDataFrame(rows, "doc_id long, text string, digest string")).collect()]
+    small = sorted(kept, key=str)
+    loose = [r for r in small if r[1] and r[1].startswith("w0")]
+    assert len(loose) == 1 and loose[0][0] is None
+    assert sorted((r for r in small if r not in loose), key=str) == sorted([(5, a), (7, b), (8, None), (8, None), (9, ""), (9, "")], key=str)
