@@ -6,70 +6,108 @@ Equal forms are one line from the first aggregation on, so a line that a third o
 All forms but the empty one are compared for equality.  Those of at least EDITS + 1 characters (so that no segment is
 empty) within ``EDITS`` edits of each other are linked:
 
-* A line of length n is cut into EDITS + 1 segments as even as can be; EDITS edits leave one of them as it was.  Each
-  segment is an index entry (segment number, n, its text), hashed.
-* A line of length m probes, for each length n from m - EDITS to m, the substrings that may be segment i of a line of
-  that length: shifts from max(-(i - 1), d - (EDITS + 1 - i)) to min(i - 1, d + EDITS + 1 - i), d = m - n.  An index
-  entry is its own unshifted probe for d = 0, and there positive shifts do, as the other line probes too.
-* Lines that share a key meet in blocks of ``BLOCK`` rows, each two in one pair of blocks; only verified links come
-  out, never the pairs.  A pair is first held to EIGHTHS (all but EDITS of them must recur within EDITS places), then
-  verified by a banded bit-parallel edit distance: one column of the band is one machine word.
+* Lengths fall into classes a few characters wide (an eighth of the length, ``EDITS`` at least).  The least length of a
+  class is cut into EDITS + 1 segments; all lines of the class have them at the same places, those of the first half
+  counted from the line's start, the others from its end.
+* Of two lines at most EDITS edits apart, some segment i of the one stands in the other as it was, with i - 1 edits
+  before it and EDITS + 1 - i after it at most.  So it is found there at most as many places away: a line has an index
+  key for each segment (segment number, class, its text; hashed) and a probe key for each such shift.
+* A line of length m may have a partner from m - EDITS on, so if that reaches into the class below, it has that class's
+  keys too, as a guest.  Guests are not compared with each other, for their own class does that.
+* Lines that share a key meet in blocks of ``BLOCK`` rows, each two in one pair of blocks.  A pair of blocks yields, for
+  each line, how many it links to, and a forest; never the pairs.  A pair is first held to EIGHTHS (all but EDITS of
+  them must recur within EDITS places), then verified by a banded bit-parallel edit distance: one column of the band is
+  one machine word.  Two lines that share several keys count under the first one only.
 
 Linked lines form classes; of each class the first line (by doc_id, nulls last, then place) is kept.
 
 Defined results: a null text has no lines and stays null; empty lines are never linked or removed, and lines of up to
 EDITS characters only join their copies; rows that share a doc_id share places, so the same line at the same place of both is kept in
-both; other columns stay as they are; an empty table gives an empty table.
+both; other columns stay as they are; an empty table gives an empty table.  Forms are told apart by 128-bit digests.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, block_pairs, components
+from .common import Scratch, block_pairs, components, maybe_in
 
 EDITS = 2
-MIN_CHARS = 1
-BLOCK = 48
+BLOCK = 128
 EIGHTHS = 8
+#: Places of a document are numbers below this.
+PLACES = 1 << 32
 
 
-def normal(lines: Column) -> Column:
-    """The normal forms of an array of lines.
+def formed(docs: DataFrame) -> DataFrame:
+    """(doc_id, pos, form): the lines of each text with content, in normal form.
 
-    Replacing costs ten times what searching does, and few lines need it.  Made as an array, and not by steps over
-    rows, so that a filter on the form does not compute it a second time.
+    A text is lower-cased and its white space settled once, before it is split.  Replacing by pattern costs most, and
+    few texts need it: those that hold other white space than single spaces.  Steps over rows, not over arrays, run as
+    compiled code.
     """
+    low = docs.select("doc_id", F.lower(F.coalesce(F.col("text"), F.lit(""))).alias("low"))
+    odd = F.contains("low", F.lit("  "))
+    for c in "\t\x0b\f\r":
+        odd = odd | F.contains("low", F.lit(c))
+    low = low.select("doc_id", F.when(odd, F.regexp_replace("low", r"[ \t\x0B\f\r]+", " ")).otherwise(F.col("low")).alias("low"))
+    lines = low.select("doc_id", F.posexplode(F.split("low", "\n")).alias("pos", "line"))
+    return lines.select("doc_id", "pos", F.trim("line").alias("form")).where(F.col("form") != "")
+
+
+def _class(length: Column, edits: int) -> Column:
+    """The least length of a length's class: classes are as wide as the greatest power of two up to an eighth of it."""
+    least = 1
+    while least < edits:
+        least *= 2
+    over = F.greatest(F.lit(0), length - (edits + 1))
+    widths = F.array(*[F.lit(max(least, 1 << max(0, bits - 4))) for bits in range(1, 33)])  # by the bits of ``over``
+    return (over - over % F.get(widths, F.length(F.bin(over.cast("long"))) - 1) + (edits + 1)).cast("int")
+
+
+def spots(edits: int) -> list[tuple[int, int]]:
+    """(segment, shift) of all keys of a class, in the order in which a pair is looked for; shift 0 is the index key.
+
+    With up to two edits one sign of shifts will do: where a segment is found some places before, the other line's is
+    found as many behind.
+    """
+    reach = {i: min(i - 1, edits + 1 - i) for i in range(1, edits + 2)}
+    shifts = lambda r: [0] + [s for k in range(1, r + 1) for s in ([k] if edits <= 2 else [k, -k])]
+    return [(i, s) for i in sorted(reach, key=lambda i: (reach[i], i)) for s in shifts(reach[i])]
+
 
-    def settle(low: Column) -> Column:
-        return F.trim(F.when(low.rlike(r"[\t\x0B\f\r\n]|  "), F.regexp_replace(low, r"\s+", " ")).otherwise(low))
+def _size(least: Column, edits: int) -> Column:
+    """The size of a segment but the last one counted from the start, for the class of this least length."""
+    return F.floor(least / (edits + 1)).cast("int")
 
-    return F.transform(F.transform(lines, F.lower), settle)
 
+def _piece(form: Column, length: Column, least: Column, size: Column, spot: tuple[int, int], edits: int) -> Column:
+    """The text at a spot of a line, for the class of this least length."""
+    (i, shift), parts = spot, edits + 1
+    left = (parts + 1) // 2  # the last segment counted from the start; it takes what the division leaves
+    if i <= left:
+        return F.substring(form, size * (i - 1) + (1 + shift), least - size * (parts - 1) if i == left else size)
+    return F.substring(form, length - size * (parts + 1 - i) + (1 + shift), size)
 
-def _segment(length: Column, i: int, edits: int) -> tuple[Column, Column]:
-    """(place from 1, length) of segment i (from 1) of a line of that length; the last ones are the longer ones."""
-    parts = edits + 1
-    q, r = F.floor(length / parts), length % parts
-    longer_before = F.greatest(F.lit(0), F.lit(i - 1 - parts) + r)
-    return (1 + q * (i - 1) + longer_before).cast("int"), (q + (r >= parts + 1 - i).cast("int")).cast("int")
 
+def keys(lines: DataFrame, edits: int) -> DataFrame:
+    """``lines`` (with form) and a column a key: h (home) or g (guest) and the number of the spot; null where there is none.
 
-def keys(form: Column, length: Column, edits: int) -> tuple[Column, Column]:
-    """(index keys, probe keys) of a line; none for lengths at which a segment would be empty."""
-    key = lambda i, n, place, size: F.when((length > edits) & (n > edits), F.xxhash64(F.lit(i), n.cast("int"), F.substring(form, place, size)))
-    index, probes = [], []
-    for d in range(edits + 1):
-        n = length - d
-        for i in range(1, edits + 2):
-            place, size = _segment(n, i, edits)
-            if d == 0:
-                index.append(key(i, n, place, size))
-            for shift in range(max(-(i - 1), d - (edits + 1 - i)), min(i - 1, d + edits + 1 - i) + 1):
-                if d or shift > 0:
-                    probes.append(key(i, n, place + shift, size))
-    return F.array_compact(F.array(*index)), F.array_distinct(F.array_compact(F.array(*probes)))
+    Lengths, classes and sizes are columns of their own, so that each is computed once and the code stays small.
+    """
+    names = lines.columns
+    n, h, g = F.col("__n"), F.col("__h"), F.col("__g")
+    lines = lines.withColumn("__n", F.length("form"))
+    below = _class(F.greatest(n - edits, F.lit(edits + 1)), edits)
+    lines = lines.withColumn("__h", F.when(n > edits, _class(n, edits))).withColumn("__g", F.when(n > edits, below))
+    lines = lines.withColumn("__hs", _size(h, edits)).withColumn("__gs", _size(g, edits))
+    out = []
+    for name, least, there in (("h", h, h.isNotNull()), ("g", g, h != g)):
+        for k, spot in enumerate(spots(edits)):
+            piece = _piece(F.col("form"), n, least, F.col(f"__{name}s"), spot, edits)
+            out.append(F.when(there, F.xxhash64(F.lit(spot[0]), least, piece)).alias(f"{name}{k}"))
+    return lines.select(*names, *out)
 
 
 def _shared(a: Column, b: Column, most: Column, end: bool) -> Column:
@@ -159,98 +197,163 @@ def _alike(a: Column, b: Column, edits: int) -> Column:
     return found >= EIGHTHS - edits
 
 
-def _occurrences(docs: DataFrame, edits: int) -> DataFrame:
-    forms = normal(F.split(F.coalesce(F.col("text"), F.lit("")), "\n"))
-    formed = docs.select("doc_id", F.posexplode(forms).alias("pos", "form"))
-    formed = formed.where(F.length("form") >= MIN_CHARS)
-    index, probes = keys(F.col("form"), F.length("form"), edits)
-    return formed.select("doc_id", "pos", F.unhex(F.md5("form")).alias("id"), index.alias("index"), probes.alias("probes"))
+def _place() -> Column:
+    """A number that orders lines by (doc_id, nulls last, number of the line)."""
+    doc = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit(str(1 << 63)).cast("decimal(20,0)"))
+    return (doc * F.lit(str(PLACES)).cast("decimal(10,0)") + F.col("pos").cast("decimal(10,0)")).cast("decimal(32,0)")
+
+
+def _decode(place: Column) -> tuple[Column, Column]:
+    """(doc_id, number of the line) of a place."""
+    doc = F.floor(place / F.lit(str(PLACES)).cast("decimal(10,0)")).cast("decimal(20,0)")
+    pos = (place - doc * F.lit(str(PLACES)).cast("decimal(10,0)")).cast("long")
+    return F.when(doc < F.lit(str(1 << 63)).cast("decimal(20,0)"), doc.cast("long")), pos
+
+
+def _earlier(x: Column, y: Column, spot: Column, probe: Column, edits: int) -> Column:
+    """Whether two lines that share a key at ``spot`` share one at an earlier spot, under which the pair is looked at.
+
+    ``probe`` tells whether x's key is the probe; if both lines probe at one spot, the smaller id's probe counts.
+    """
+    all_spots = spots(edits)
+    short = x["n"] <= y["n"]  # its class is that of the pair
+    least, size = F.when(short, x["least"]).otherwise(y["least"]), F.when(short, x["size"]).otherwise(y["size"])
+
+    def hit(k: int, a: Column, b: Column) -> Column:
+        """b's text at spot k is a's segment."""
+        return _piece(a["form"], a["n"], least, size, (all_spots[k][0], 0), edits) == _piece(b["form"], b["n"], least, size, all_spots[k], edits)
+
+    out = F.lit(False)
+    for k, (_, shift) in enumerate(all_spots):
+        before = F.lit(False)
+        for j in range(k):
+            before = before | hit(j, x, y)
+            if all_spots[j][1]:
+                before = before | hit(j, y, x)
+        if shift:
+            before = before | F.when(x["id"] < y["id"], ~probe & hit(k, y, x)).otherwise(probe & hit(k, x, y))
+        out = F.when(spot == k, before).otherwise(out)
+    return out
+
+
+def _linked(x: Column, y: Column, edits: int) -> Column:
+    """Whether two entries of a key are a link that counts here."""
+    first_of = F.array(*[F.lit(s == 0) for _, s in spots(edits)])
+    index = lambda e: F.element_at(first_of, e["spot"] + 1)
+    fits = (F.abs(x["n"] - y["n"]) <= edits) & (x["home"] | y["home"]) & (index(x) | index(y)) & (x["id"] != y["id"])
+    alike = F.when(fits, _alike(x["form"], y["form"], edits))
+    here = F.when(alike, ~_earlier(x, y, F.greatest(x["spot"], y["spot"]), ~index(x), edits))
+    return F.when(here, within(x["form"], y["form"], edits))
+
+
+#: Added to the numbers of a second block's rows, so that they differ from the first one's.
+_SECOND = 1 << 20
+
+
+def _summary(left: Column, right: Column, edges: Column) -> Column:
+    """(id, links, to) of the linked rows of a pair of blocks, from each left row's partners: ``to`` spans a forest."""
+    sets = F.aggregate(
+        edges,
+        F.array().cast("array<array<int>>"),
+        lambda done, e: F.transform(
+            F.array(F.array_append(e["partners"], e["row"])),
+            lambda m: F.array_append(
+                F.filter(done, lambda s: ~F.arrays_overlap(s, m)),
+                F.array_distinct(F.concat(m, F.flatten(F.filter(done, lambda s: F.arrays_overlap(s, m))))),
+            ),
+        )[0],
+    )
+    name = lambda v: F.when(v >= _SECOND, F.get(right, v - _SECOND)["id"]).otherwise(F.get(left, v)["id"])
+
+    def links(v: Column) -> Column:
+        return F.aggregate(edges, F.lit(0).cast("long"), lambda n, e: n + F.when(e["row"] == v, F.size(e["partners"])).otherwise(F.array_contains(e["partners"], v).cast("int")))
+
+    return F.flatten(F.transform(sets, lambda s: F.transform(s, lambda v: F.struct(name(v).alias("id"), links(v).alias("links"), name(F.array_min(s)).alias("to")))))
 
 
 def links(scratch: Scratch, docs: DataFrame, lines: DataFrame, edits: int) -> DataFrame:
-    """(a, b), a < b: the ids of linked lines, from ``lines`` (id, first, n, index, probes)."""
-    entry = lambda name, role: F.transform(name, lambda k: F.struct(k.alias("key"), F.lit(role).alias("index")))
-    rows = lines.select("id", F.explode(F.concat(entry("index", True), entry("probes", False))).alias("e")).select("id", "e.key", "e.index")
-    by_key = Window.partitionBy("key")
-    met = rows.withColumn("m", F.count("*").over(by_key)).withColumn("any_index", F.max("index").over(by_key))
-    met = met.where((F.col("m") > 1) & F.col("any_index")).drop("any_index")
-    met = scratch.cut(met, "met")
-    # The texts of the lines that met another: from the place where each line stands first.
-    needed = met.select("id").distinct().join(lines.select("id", "first"), "id").select("id", F.col("first.doc_id").alias("doc_id"), F.col("first.pos").alias("pos"))
-    form = F.get(normal(F.array(F.get(F.split("text", "\n"), F.col("pos")))), 0)
-    texts = docs.where("text is not null").select("doc_id", "text").join(needed, "doc_id").select("id", form.alias("form"))
-    # Lines that stand in no document with an id: by their digest.
-    loose = docs.where("doc_id is null").select(F.explode(normal(F.split("text", "\n"))).alias("form")).distinct()
-    loose = loose.withColumn("id", F.unhex(F.md5("form"))).join(needed.where("doc_id is null").select("id"), "id").select("id", "form")
-    texts = texts.unionByName(loose)
-    texts = scratch.cut(texts.where(F.unhex(F.md5("form")) == F.col("id")).dropDuplicates(["id"]), "texts")
-    met = block_pairs(met, "key", "id", "m", BLOCK).join(texts, "id")
+    """(id, links, to): how many other forms a line links to, in parts to be summed, and the edges of a forest.
+
+    ``lines`` has a row for each form: id, line (a 64-bit hash of the form, by which lines are dealt) and the columns of ``keys``.
+    """
+    names = [c for c in lines.columns if c[0] in "hg" and c[1:].isdigit()]
+    stacked = F.stack(F.lit(len(names)), *[x for c in names for x in (F.col(c), F.lit(int(c[1:])), F.lit(c[0] == "h"))])
+    entries = lines.select("line", stacked.alias("key", "spot", "home")).where("key is not null")
+    index = [k for k, (_, s) in enumerate(spots(edits)) if s == 0]
+    met = entries.groupBy("key").agg(F.count("*").alias("m"), F.max("home").alias("any_home"), F.max(F.col("spot").isin(index)).alias("any_index"))
+    met = scratch.cut(met.where((F.col("m") > 1) & F.col("any_home") & F.col("any_index")).select("key", "m"), "keys", hashes=True)
+    met = scratch.cut(entries.join(met, "key"), "met", hashes=True)
+    # The forms of the lines that met another.
+    forms = maybe_in(formed(docs).select("form", F.xxhash64("form").alias("line")), "line", met.select("line"))
+    texts = forms.withColumn("id", F.unhex(F.md5("form"))).groupBy("line", "id").agg(F.first("form").alias("form"))
+    texts = texts.withColumn("n", F.length("form")).withColumn("least", _class(F.col("n"), edits)).withColumn("size", _size(F.col("least"), edits))
+    texts = scratch.cut(texts, "texts")
+    met = block_pairs(met, "key", "line", "m", BLOCK).join(texts, "line")
     # As many tasks as the session has, for the work is in the pairs, not in the bytes by which tasks are merged.
     met = met.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key", "block_i", "block_j")
-    row = F.struct("block", "index", "id", "form")
-    groups = met.groupBy("key", "block_i", "block_j").agg(F.collect_list(row).alias("rows"))
-    left, right = F.filter("rows", lambda r: r["block"] == F.col("block_i")), F.filter("rows", lambda r: r["block"] == F.col("block_j"))
+    groups = met.groupBy("key", "block_i", "block_j").agg(F.collect_list(F.struct("block", "spot", "home", "id", "n", "least", "size", "form")).alias("rows"))
+    part = lambda c: F.filter("rows", lambda r: r["block"] == F.col(c))
+    own = F.col("block_i") == F.col("block_j")
+    groups = groups.select(own.alias("own"), part("block_i").alias("left"), part("block_j").alias("right"))
+    left, right, own = F.col("left"), F.col("right"), F.col("own")
 
     def partners(x: Column) -> Column:
-        def good(y: Column) -> Column:
-            fits = (x["id"] != y["id"]) & (x["index"] | y["index"]) & (F.abs(F.length(x["form"]) - F.length(y["form"])) <= edits)
-            once = (F.col("block_i") != F.col("block_j")) | (x["id"] < y["id"])
-            near = F.when(fits & once, _alike(x["form"], y["form"], edits))
-            return F.coalesce(F.when(near, within(x["form"], y["form"], edits)), F.lit(False))
-
-        return F.transform(F.filter(F.col("right"), good), lambda y: F.struct(F.least(x["id"], y["id"]).alias("a"), F.greatest(x["id"], y["id"]).alias("b")))
+        number = lambda y, k: F.when((~own | (x["id"] < y["id"])) & _linked(x, y, edits), k + F.when(own, 0).otherwise(_SECOND))
+        return F.array_compact(F.transform(right, number))
 
-    groups = groups.select("block_i", "block_j", left.alias("left"), right.alias("right"))
-    found = groups.select(F.explode(F.flatten(F.transform("left", partners))).alias("link"))
-    return scratch.cut(found.select("link.*").distinct(), "links")
+    edges = F.filter(F.transform(left, lambda x, k: F.struct(k.alias("row"), partners(x).alias("partners"))), lambda e: F.size(e["partners"]) > 0)
+    found = groups.select(F.explode(F.flatten(F.transform(F.array(edges), lambda e: _summary(left, right, e)))).alias("link"))
+    return scratch.cut(found.select("link.*"), "links")
 
 
 def judge(docs: DataFrame, edits: int = EDITS) -> tuple[Scratch, DataFrame]:
-    """(doc_id, pos, keeper, links) for each line that has a copy or a link: ``keeper`` is (doc_id, pos) of its class's kept line."""
+    """(doc_id, place, keeper, links) for each line that has a copy or a link: ``keeper`` is the place of its class's kept line."""
+    if edits not in (1, 2, 3):
+        raise ValueError("edits must be 1, 2 or 3")
     scratch = Scratch(docs.sparkSession)
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "pos")  # nulls last
-    lines = _occurrences(docs, edits).groupBy("id").agg(F.count("*").alias("n"), F.min(place).alias("first"), F.first("index").alias("index"), F.first("probes").alias("probes"))
-    lines = scratch.cut(lines, "lines")
+    spots = keys(formed(docs).select("doc_id", "pos", "form", F.unhex(F.md5("form")).alias("id"), F.xxhash64("form").alias("line")), edits)
+    spots = scratch.cut(spots.drop("form"), "spots", hashes=True)
+    # Buffers of fixed width only, so that this is a hash aggregation.
+    of_form = [F.max(c).alias(c) for c in spots.columns if c not in ("doc_id", "pos", "id")]
+    lines = scratch.cut(spots.groupBy("id").agg(F.count("*").alias("n"), F.min(_place()).alias("first"), *of_form), "lines", hashes=True)
     linked = links(scratch, docs, lines, edits)
-    classes = components(scratch, linked)
-    degree = linked.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("links"))
+    classes = components(scratch, linked.select(F.col("id").alias("a"), F.col("to").alias("b")))
+    degree = linked.groupBy("id").agg(F.sum("links").alias("links"))
     in_class = classes.withColumnRenamed("node", "id").join(lines.select("id", "first"), "id").join(degree, "id")
+    in_class = scratch.cut(in_class, "in_class")
     keeper = in_class.groupBy("component").agg(F.min("first").alias("keeper"))
     joined = in_class.join(keeper, "component").select("id", "keeper", "links")
     copies = lines.where("n > 1").select("id", F.col("first").alias("own"))
     known = copies.join(joined, "id", "full").select("id", F.coalesce("keeper", "own").alias("keeper"), F.coalesce("links", F.lit(0)).alias("links"))
     known = scratch.cut(known, "known")
-    scratch.drop("lines", "met", "texts", "links", "components")
-    spots = _occurrences(docs, edits).select("doc_id", "pos", "id").join(known, "id")
-    return scratch, spots.select("doc_id", "pos", "keeper", "links")
-
-
-def _removed() -> Column:
-    return ~F.struct("doc_id", "pos").eqNullSafe(F.struct("keeper.doc_id", "keeper.pos"))
+    scratch.drop("lines", "keys", "met", "texts", "links", "components", "in_class")
+    return scratch, spots.select("doc_id", _place().alias("place"), "id").join(known, "id").select("doc_id", "place", "keeper", "links")
 
 
 def report(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     """For each row: doc_id, n_lines, n_links (links of its lines to other line forms), removed (places), kept_by (doc_id for each)."""
     scratch, spots = judge(docs, edits)
-    gone = F.when(_removed(), F.struct("pos", F.col("keeper.doc_id").alias("doc_id")))
+    gone = F.when(F.col("place") != F.col("keeper"), F.struct(_decode(F.col("place"))[1].alias("pos"), _decode(F.col("keeper"))[0].alias("doc_id")))
     per = spots.groupBy("doc_id").agg(F.sum("links").alias("links"), F.array_sort(F.collect_set(gone)).alias("gone"))
     per = scratch.cut(per.withColumnRenamed("doc_id", "id"), "per")
+    scratch.drop("spots", "known")
     out = docs.select("doc_id", F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).cast("long").alias("n_lines"))
     out = out.join(per, F.col("doc_id").eqNullSafe(F.col("id")), "left")
-    gone = F.coalesce("gone", F.array().cast("array<struct<pos:int,doc_id:bigint>>"))
+    gone = F.coalesce("gone", F.array().cast("array<struct<pos:bigint,doc_id:bigint>>"))
     return out.select(
         "doc_id", "n_lines", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.size(gone).cast("long").alias("n_removed"),
-        F.transform(gone, lambda g: g["pos"].cast("long")).alias("removed"), F.transform(gone, lambda g: g["doc_id"].cast("long")).alias("kept_by"),
+        F.transform(gone, lambda g: g["pos"]).alias("removed"), F.transform(gone, lambda g: g["doc_id"]).alias("kept_by"),
     )
 
 
 def remove(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     """The rows of ``docs`` without the removed lines; a document that had lines and keeps none with content goes."""
     scratch, spots = judge(docs, edits)
-    per = spots.where(_removed()).groupBy("doc_id").agg(F.collect_set("pos").alias("__gone")).withColumnRenamed("doc_id", "__id")
-    per = scratch.cut(per, "per")
+    gone = spots.where(F.col("place") != F.col("keeper")).select("doc_id", _decode(F.col("place"))[1].alias("pos"))
+    per = scratch.cut(gone.groupBy("doc_id").agg(F.collect_set("pos").alias("__gone")).withColumnRenamed("doc_id", "__id"), "per")
+    scratch.drop("spots", "known")
     joined = docs.join(per, F.col("doc_id").eqNullSafe(F.col("__id")), "left")
-    left = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("__gone", i)), "\n")
+    left = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("__gone", i.cast("long"))), "\n")
     touched = F.col("__gone").isNotNull()
     joined = joined.withColumn("text", F.when(touched, left).otherwise(F.col("text"))).where(~touched | (F.length(F.trim("text")) > 0))
     if "n_chars" in docs.columns:
