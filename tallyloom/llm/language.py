@@ -5,12 +5,12 @@ and one backwards; at each position their two states give a probability of each
 greatest); a document's probabilities are the mean over its positions.  Gates are piecewise linear, which costs a
 tenth of exponentials and leaves the network as it is otherwise.
 
-Training is backpropagation through time on a bounded sample: ``SAMPLE_ROWS`` documents of each language, in the order
-of a hash of the id, two chunks of each.
+Training is backpropagation through time on a bounded sample: up to ``SAMPLE_ROWS`` documents of each language, one of
+each bucket of a hash of the id, and ``PIECES`` pieces of each, at places anywhere in the text that a hash gives.
 
 Defined results: a null text or one without a letter is ``und`` with score 0; without training rows every text is;
-repeated rows get equal predictions; a null language teaches nothing; other columns are ignored; an empty table gives
-an empty table.
+repeated rows get equal predictions; a null language teaches nothing; of rows that share an id one teaches; a very long
+text is read whole; other columns are ignored; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -21,12 +21,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import utf8_view
+from .common import Scratch, utf8_view
 
 SAMPLE_ROWS = 400
+PIECES = 4
 CHUNK = 128
 STATE = 8
 STEPS = 260
@@ -48,10 +49,10 @@ class Model:
 def _run(table: np.ndarray, inner: np.ndarray, codes: np.ndarray, keep: list | None = None) -> np.ndarray:
     """States (steps, chunks, STATE) of one direction; ``keep`` gets what training needs of each step."""
     steps, n = codes.shape
-    out = np.empty((steps, n, STATE), np.float32)
-    h = np.zeros((n, STATE), np.float32)
+    out = np.empty((steps, n, STATE), table.dtype)
+    h = np.zeros((n, STATE), table.dtype)
     (uz, ur, un), (tz, tr, tn) = inner, table
-    z, r, a, c = (np.empty((n, STATE), np.float32) for _ in range(4))
+    z, r, a, c = (np.empty((n, STATE), table.dtype) for _ in range(4))
     for t in range(steps):
         x = codes[t]
         np.matmul(h, uz, out=z)
@@ -122,6 +123,42 @@ def probabilities(m: Model, data: np.ndarray, starts: np.ndarray, ends: np.ndarr
     return total / np.maximum(1, sizes)[:, None]
 
 
+def gradients(m: Model, x: np.ndarray, y: np.ndarray) -> tuple[float, list[np.ndarray]]:
+    """(loss, gradients) of the mean cross-entropy over all positions of chunks (steps, chunks): tables, inner, out, bias."""
+    size, real = x.shape[1], (x != PAD)[:, :, None]
+    kept: tuple[list, list] = ([], [])
+    f = _run(m.table[0], m.inner[0], x, kept[0])
+    b = _run(m.table[1], m.inner[1], x[::-1], kept[1])[::-1]
+    both = np.concatenate([f, b], axis=2)
+    logits = both @ m.out + m.bias
+    p = np.exp(logits - logits.max(axis=2, keepdims=True))
+    p /= p.sum(axis=2, keepdims=True)
+    loss = float(-(np.log(p[:, np.arange(size), y]) * real[:, :, 0]).sum() / max(1, real.sum()))
+    p[:, np.arange(size), y] -= 1
+    d = (p * real / max(1, real.sum())).astype(m.out.dtype)
+    g_out, g_bias = np.einsum("tns,tnl->sl", both, d), d.sum(axis=(0, 1))
+    back = d @ m.out.T
+    grads = []
+    for way in (0, 1):
+        dh_out = back[:, :, :STATE] if way == 0 else back[::-1, :, STATE:]
+        uz, ur, un = m.inner[way]
+        g_inner, g_table = np.zeros_like(m.inner[way]), np.zeros_like(m.table[way])
+        dh = np.zeros((size, STATE), m.out.dtype)
+        for t in range(len(x) - 1, -1, -1):
+            code, h, z, r, a, cand, z_in, r_in, c_in = kept[way][t]
+            dh = dh + dh_out[t]
+            dz = dh * (h - cand) * z_in
+            dc = dh * (1 - z) * c_in
+            dr, da = dc * a * r_in, dc * r
+            g_inner += np.stack([h.T @ dz, h.T @ dr, h.T @ da])
+            for k, v in enumerate((dz, dr, dc)):
+                np.add.at(g_table[k], code, v)
+            dh = dh * z + dz @ uz.T + dr @ ur.T + da @ un.T
+        g_table[:, PAD] = 0
+        grads.append((g_table, g_inner))
+    return loss, [grads[0][0], grads[1][0], grads[0][1], grads[1][1], g_out, g_bias]
+
+
 def fit(chunks: list[bytes], langs: list[str], seed: int = 1) -> Model:
     """Adam on the cross-entropy of every position, over chunks drawn evenly from the languages."""
     rng = np.random.default_rng(seed)
@@ -146,38 +183,7 @@ def fit(chunks: list[bytes], langs: list[str], seed: int = 1) -> Model:
     for step in range(1, STEPS + 1):
         rows = np.array([rng.choice(by[k]) for k in rng.integers(0, len(names), size)])
         cut = int(rng.integers(0, CHUNK // 2 + 1))
-        x = codes[rows, cut : cut + CHUNK // 2].T
-        real = (x != PAD)[:, :, None]
-        kept: tuple[list, list] = ([], [])
-        f = _run(m.table[0], m.inner[0], x, kept[0])
-        b = _run(m.table[1], m.inner[1], x[::-1], kept[1])[::-1]
-        both = np.concatenate([f, b], axis=2)
-        logits = both @ m.out + m.bias
-        p = np.exp(logits - logits.max(axis=2, keepdims=True))
-        p /= p.sum(axis=2, keepdims=True)
-        p[:, np.arange(size), y[rows]] -= 1
-        d = (p * real / max(1, real.sum())).astype(np.float32)
-        g_out, g_bias = np.einsum("tns,tnl->sl", both, d), d.sum(axis=(0, 1))
-        back = d @ m.out.T
-        grads = []
-        for way in (0, 1):
-            dh_out = back[:, :, :STATE] if way == 0 else back[::-1, :, STATE:]
-            uz, ur, un = m.inner[way]
-            g_inner, g_table = np.zeros_like(m.inner[way]), np.zeros_like(m.table[way])
-            dh = np.zeros((size, STATE), np.float32)
-            for t in range(len(x) - 1, -1, -1):
-                code, h, z, r, a, cand, z_in, r_in, c_in = kept[way][t]
-                dh = dh + dh_out[t]
-                dz = dh * (h - cand) * z_in
-                dc = dh * (1 - z) * c_in
-                dr, da = dc * a * r_in, dc * r
-                g_inner += np.stack([h.T @ dz, h.T @ dr, h.T @ da])
-                for k, v in enumerate((dz, dr, dc)):
-                    np.add.at(g_table[k], code, v)
-                dh = dh * z + dz @ uz.T + dr @ ur.T + da @ un.T
-            g_table[:, PAD] = 0
-            grads.append((g_table, g_inner))
-        all_grads = [grads[0][0], grads[1][0], grads[0][1], grads[1][1], g_out, g_bias]
+        _, all_grads = gradients(m, codes[rows, cut : cut + CHUNK // 2].T, y[rows])
         scale = min(1.0, 1.0 / float(np.sqrt(sum((g**2).sum() for g in all_grads)) + 1e-9))
         rate = 0.02 * (1 - step / STEPS) + 0.001
         for w, g, mu, v in zip(weights, all_grads, mean, var):
@@ -195,20 +201,25 @@ def remainder(k: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(k)), F.lit(0))
 
 
-def train(docs: DataFrame, learn: Column, rows: int = SAMPLE_ROWS) -> Model:
-    """Fit on ``rows`` documents of each language for which ``learn`` (on doc_id) holds, two chunks of each.
+def train(docs: DataFrame, learn: Column, rows: int = SAMPLE_ROWS, pieces: int = PIECES) -> Model:
+    """Fit on up to ``rows`` documents of each language for which ``learn`` (on doc_id) holds, some pieces of each.
 
-    The choice reads ids and languages only; the row limit a language is applied before the shuffle as well as after.
+    Of each of ``rows`` buckets of a hash of the id the first document by another hash is taken: a minimum a bucket, so
+    a language that most documents have costs no more than others.  The ids are written; Spark broadcasts them if that
+    table is small enough.  One row a bucket is left after the join too, whatever number of documents share an id.
     """
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(9)), "doc_id")
-    some = docs.where(learn & F.col("lang").isNotNull()).select("doc_id", "lang").withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= rows)
-    some = some.select(F.col("doc_id").alias("id"), F.col("lang").alias("y"))
-    text = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
-    text = text.join(F.broadcast(some), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("lang") == F.col("y")))
-    half = F.floor(F.length("text") / 2).cast("int")
-    got = text.select("doc_id", "lang", F.substring("text", 1, CHUNK).alias("a"), F.substring(F.col("text"), half + 1, F.lit(CHUNK)).alias("b")).toArrow().to_pylist()
-    got.sort(key=lambda r: (r["lang"], r["doc_id"] or 0, r["a"]))
-    chunks = [(c.encode()[:CHUNK], r["lang"]) for r in got for c in (r["a"], r["b"]) if c.strip()]
+    scratch = Scratch(docs.sparkSession)
+    known = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    bucket = F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(rows))
+    ids = known.groupBy(F.col("lang").alias("y"), bucket.alias("bucket")).agg(F.min_by("doc_id", F.xxhash64("doc_id", F.lit(10))).alias("id"))
+    ids = scratch.cut(ids, "sample")
+    last = F.greatest(F.lit(1), F.length("text") - (CHUNK - 1)).cast("long")
+    cuts = [F.substring("text", (F.pmod(F.xxhash64("doc_id", F.lit(20 + k)), last) + 1).cast("int"), F.lit(CHUNK)) for k in range(pieces)]
+    got = known.select("lang", "doc_id", F.array(*cuts).alias("cuts")).join(ids, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("lang") == F.col("y")))
+    got = got.groupBy("lang", "bucket").agg(F.min("cuts").alias("cuts")).toArrow().to_pylist()
+    scratch.drop("sample")
+    got.sort(key=lambda r: (r["lang"], r["bucket"]))
+    chunks = [(c.encode()[:CHUNK], r["lang"]) for r in got for c in r["cuts"] if c.strip()]
     return fit([c for c, _ in chunks], [lang for _, lang in chunks])
 
 
