@@ -42,7 +42,8 @@ def safe_ratio(a: Column, b: Column) -> Column:
 
 
 def cosine(a: Column, b: Column) -> Column:
-    """Cosine of two arrays in double precision, JVM-side; null if either is empty or zero or the lengths differ."""
+    """Cosine of two arrays in double precision, JVM-side, over the shorter one's length; null if that is empty or zero."""
+    a, b = F.slice(a, F.lit(1), F.least(F.size(a), F.size(b))), F.slice(b, F.lit(1), F.least(F.size(a), F.size(b)))
     dot = F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, v: s + v)
     norm = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    return F.when(F.size(a) == F.size(b), F.try_divide(dot, norm(a) * norm(b)))
+    return F.try_divide(dot, norm(a) * norm(b))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -16,8 +17,10 @@ def normal_email(x: Column) -> Column:
     return F.nullif(F.lower(F.trim(x)), F.lit(""))
 
 
-def redact_emails(x: Column, most: int = 2000) -> Column:
-    return F.substring(F.regexp_replace(x, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "<email>"), 1, most)
+def redact_emails(x: Column, most: int | None = None) -> Column:
+    """Addresses go; a log writer, whose lines are bounded, gives the number of characters that it keeps."""
+    whole = F.regexp_replace(x, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "<email>")
+    return whole if most is None else F.substring(whole, 1, most)
 
 
 def unwrap_links(x: Column) -> Column:
@@ -39,12 +42,18 @@ def snippet(x: Column, word: str, reach: int = 40) -> Column:
     return F.when(at > 0, F.trim(F.regexp_replace(cut, r"\s+", " ")))
 
 
-def classify_line(x: Column) -> Column:
+#: Words by which a line's channel is told, in order; a deployment gives its own.
+CHANNELS = {"marketplace": ("marketplace",), "web": ("web", "shop")}
+
+
+def classify_line(x: Column, channels: dict[str, tuple[str, ...]] = CHANNELS) -> Column:
     """An invoice line's description to (month, channel, fee kind, base flag)."""
     low = F.lower(x)
     month = F.regexp_extract(low, rf"({MONTHS})\s+([0-9]{{4}})", 0)
     kind = F.when(low.contains("refund"), "refund").when(low.contains("management") | low.contains("commission"), "management").when(low.contains("subscription"), "subscription").otherwise("other")
-    channel = F.when(low.contains("amazon"), "amazon").when(low.contains("web") | low.contains("shop"), "web").otherwise("unknown")
+    channel = F.lit("unknown")
+    for name, words in reversed(channels.items()):
+        channel = F.when(low.rlike("|".join(map(re.escape, words))), name).otherwise(channel)
     return F.struct(
         F.try_to_timestamp(F.initcap(F.nullif(month, F.lit(""))), F.lit("MMMM yyyy")).cast("date").alias("month"),
         channel.alias("channel"), kind.alias("fee_type"), (kind == "management").alias("is_base"),
@@ -73,18 +82,23 @@ def parse_date(x: Column, *patterns: str) -> Column:
     return F.coalesce(*[F.try_to_timestamp(x, F.lit(p)) for p in patterns]).cast("date")
 
 
+def _object(x: Column) -> Column:
+    """A JSON object's members with their types; null for other JSON and for what is none."""
+    return F.try_parse_json(x).try_cast("map<string,variant>")
+
+
 def merge_json(base: Column, over: Column) -> Column:
-    """Two JSON objects of texts; the right one wins."""
-    kind = "map<string,string>"
-    left, right = F.from_json(base, kind), F.from_json(over, kind)
-    kept = F.map_filter(F.coalesce(left, F.create_map().cast(kind)), lambda k, _: ~F.map_contains_key(F.coalesce(right, F.create_map().cast(kind)), k))
-    both = F.map_concat(kept, F.coalesce(right, F.create_map().cast(kind)))
-    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(both))))
+    """Two JSON objects, of which the right one's members win; types and nested values stay.  A null side is an empty
+    object, and what is no object gives null, for merging would lose it."""
+    fine = lambda x: x.isNull() | _object(x).isNotNull()
+    left, right = _object(F.coalesce(base, F.lit("{}"))), _object(F.coalesce(over, F.lit("{}")))
+    both = F.map_concat(F.map_filter(left, lambda k, _: ~F.map_contains_key(right, k)), right)
+    return F.when(fine(base) & fine(over), F.to_json(F.to_variant_object(both)))
 
 
 def canonical_json(x: Column) -> Column:
-    """Sorted keys, for equality."""
-    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(F.from_json(x, "map<string,string>")))))
+    """Sorted keys at all levels and no blanks, for equality; null for what is no JSON."""
+    return F.to_json(F.try_parse_json(x))
 
 
 def cut_text(text: str, target: int = 2048, most: int = 2560, overlap: int = 500) -> list[str]:

@@ -26,19 +26,37 @@ def keep_last(df: DataFrame, keys: Sequence[str], position: str) -> DataFrame:
     return distinct_on(df, keys, F.col(position).desc())
 
 
-def as_of_join(left: DataFrame, right: DataFrame, on: Sequence[str], at: str, since: str, keep: Sequence[str]) -> DataFrame:
-    """Each left row with the right row of its key that began last, at or before it.
+def as_of_join(left: DataFrame, right: DataFrame, on: Sequence[str], at: str, since: str, keep: Sequence[str], bucket: str = "month") -> DataFrame:
+    """Each left row with the right row of its key that began last, at or before it; a null key or time matches nothing.
 
-    Both sides are stacked and the latest right row is carried forward along time within the key: one shuffle and one
-    sort, no range join, so the cost does not grow with how many right rows a key has.
+    Both sides are stacked and the latest right row is carried forward along time: no range join, so the cost does not
+    grow with how many right rows a key has.  Time is cut into calendar buckets, and rows are dealt by key and bucket, so
+    a key with a long history is many tasks' work; what holds at a bucket's start comes from the last right row of each
+    earlier bucket, one row a key and bucket.
     """
-    struct = F.struct(*[F.col(c) for c in keep])
-    l_side = left.withColumn("__t", F.col(at)).withColumn("__side", F.lit(1)).withColumn("__r", F.lit(None).cast(right.select(struct.alias("s")).schema["s"].dataType))
-    r_side = right.select(*on, F.col(since).alias("__t"), F.lit(0).alias("__side"), struct.alias("__r"))
-    both = l_side.unionByName(r_side, allowMissingColumns=True)
-    order = Window.partitionBy(*on).orderBy(F.col("__t").asc(), F.col("__side").asc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    got = both.withColumn("__r", F.last("__r", ignorenulls=True).over(order)).where("__side = 1")
-    return got.select(*left.columns, *[F.col("__r").getField(c).alias(c) for c in keep])
+    usable = F.col("__t").isNotNull()
+    for k in on:
+        usable = usable & F.col(k).isNotNull()
+    r_side = right.select(*on, F.col(since).alias("__t"), F.struct(*[F.col(c) for c in keep]).alias("__r")).where(usable)
+    # Other orders than time (versions, epochs) have one bucket.
+    cut = F.date_trunc(bucket, "__t") if left.schema[at].dataType.typeName() in ("date", "timestamp", "timestamp_ntz") else F.lit(0)
+    r_side = r_side.withColumn("__b", cut)
+    l_side = left.withColumn("__t", F.col(at)).withColumn("__b", cut)
+    null = F.lit(None).cast(r_side.schema["__r"].dataType)
+    both = l_side.withColumn("__side", F.lit(1)).withColumn("__r", null).unionByName(r_side.withColumn("__side", F.lit(0)), allowMissingColumns=True)
+    inside = Window.partitionBy(*on, "__b").orderBy("__t", "__side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    got = both.withColumn("__r", F.last("__r", ignorenulls=True).over(inside)).where("__side = 1")
+    # What holds when a bucket begins, for the buckets of either side.
+    last = r_side.groupBy(*on, "__b").agg(F.max_by("__r", "__t").alias("__last"))
+    ends = last.unionByName(l_side.select(*on, "__b").distinct(), allowMissingColumns=True).groupBy(*on, "__b").agg(F.first("__last", ignorenulls=True).alias("__last"))
+    before = Window.partitionBy(*on).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(on)], F.col("__b").alias("__kb"), F.last("__last", ignorenulls=True).over(before).alias("__before"))
+    same = F.col("__b") == F.col("__kb")
+    for i, k in enumerate(on):
+        same = same & (F.col(k) == F.col(f"__k{i}"))
+    got = got.join(ends.where("__before IS NOT NULL"), same, "left")
+    row = F.when(usable, F.coalesce("__r", "__before"))
+    return got.select(*left.columns, *[row.getField(c).alias(c) for c in keep])
 
 
 def month_spine(df: DataFrame, keys: Sequence[str], first: Column, last: Column, name: str = "month") -> DataFrame:
@@ -47,11 +65,16 @@ def month_spine(df: DataFrame, keys: Sequence[str], first: Column, last: Column,
 
 
 def allocate(parts: DataFrame, totals: DataFrame, on: str, weight: str, total: str, name: str = "allocated") -> DataFrame:
-    """A total over its parts by weight, rounded to cents, never more than a part's weight."""
-    sums = parts.groupBy(on).agg(F.sum(weight).alias("__w"))
-    joined = parts.join(totals.select(on, total), on).join(sums, on).where(F.col("__w") > 0)
-    share = F.round(F.col(total).cast("double") * F.col(weight).cast("double") / F.col("__w").cast("double"), 2)
-    return joined.withColumn(name, F.least(share, F.col(weight).cast("double"))).drop("__w", total)
+    """A total over its parts by weight, rounded half up to cents, never more than a part's weight.
+
+    Reckoned in whole cents (DECIMAL), so that neither the order of a sum nor a binary fraction decides a cent.
+    """
+    cents = lambda c: F.round(F.col(c).cast("decimal(18,4)") * 100, 0).cast("decimal(18,0)")
+    parts = parts.withColumn("__u", cents(weight))
+    sums = parts.groupBy(on).agg(F.sum("__u").cast("decimal(18,0)").alias("__s"))
+    joined = parts.join(totals.select(on, cents(total).alias("__t")), on).join(sums, on).where(F.col("__s") > 0)
+    joined = joined.withColumn(name, F.expr("CAST(least((2 * __t * __u + __s) div (2 * __s), __u) AS DECIMAL(18,0))") / 100)
+    return joined.withColumn(name, F.col(name).cast("decimal(18,2)")).drop("__u", "__s", "__t")
 
 
 def link(left: DataFrame, right: DataFrame, left_id: str, right_id: str, key: str, role: Column, excluded: Column) -> DataFrame:

@@ -23,21 +23,27 @@ class Merge:
     changes: DataFrame  #: (keys, outcome: created, updated, unchanged or absent; changed: names)
 
 
-def merge(current: DataFrame, incoming: DataFrame, keys: Sequence[str], at: Column, refreshed: str = "refreshed_at") -> Merge:
+def merge(current: DataFrame, incoming: DataFrame, keys: Sequence[str], at: Column, refreshed: str = "refreshed_at", silent: Sequence[str] = ()) -> Merge:
     """One batch into the current rows, by a full outer join.
 
+    A column that the current table lacks is an error, for its values would go unseen; columns of ``silent`` are written
+    but a difference in them alone is no change.
+
     A column that the incoming frame lacks is "no change", unlike a null in one that it has.  Changed rows go to history
     with valid_from = when they were last refreshed and valid_to = ``at``; unchanged ones are only refreshed; current
     rows that the batch does not name stay as they are.
     """
-    emitted = [c for c in incoming.columns if c in current.columns and c not in keys and c != refreshed]
+    if unknown := set(incoming.columns) - set(current.columns):
+        raise ValueError(f"the current table has no {sorted(unknown)}")
+    emitted = [c for c in incoming.columns if c not in keys and c != refreshed]
+    compared = [c for c in emitted if c not in silent]
     kinds = dict(current.dtypes)
     on = None
     for k in keys:
         cond = F.col(f"c.{k}").eqNullSafe(F.col(f"i.{k}"))
         on = cond if on is None else on & cond
     both = current.withColumn("__c", F.lit(True)).alias("c").join(incoming.withColumn("__i", F.lit(True)).alias("i"), on, "full")
-    names = F.array_compact(F.array(*[F.when(~same_value(F.col(f"c.{c}"), F.col(f"i.{c}"), kinds[c]), F.lit(c)) for c in emitted])) if emitted else F.array().cast("array<string>")
+    names = F.array_compact(F.array(*[F.when(~same_value(F.col(f"c.{c}"), F.col(f"i.{c}"), kinds[c]), F.lit(c)) for c in compared])) if compared else F.array().cast("array<string>")
     outcome = F.when(F.col("__c").isNull(), "created").when(F.col("__i").isNull(), "absent").when(F.size(names) > 0, "updated").otherwise("unchanged")
     both = both.withColumn("__outcome", outcome).withColumn("__names", F.when(F.col("__outcome") == "updated", names))
     key = [F.coalesce(F.col(f"c.{k}"), F.col(f"i.{k}")).alias(k) for k in keys]
@@ -74,7 +80,7 @@ def set_rate(rates: DataFrame, keys: dict[str, str], rate: float, cutover: Colum
         raise ValueError("a rate is between 0 and 1")
     hit = F.col("valid_to").isNull()
     for k, v in keys.items():
-        hit = hit & (F.col(k) == v)
+        hit = hit & F.col(k).eqNullSafe(F.lit(v))  # never null, so that no row is lost by it
     closed = rates.withColumn("valid_to", F.when(hit & (F.col("valid_from") < cutover), cutover).otherwise(F.col("valid_to"))).where(~(hit & (F.col("valid_from") >= cutover)))
     spark = rates.sparkSession
     fresh = spark.range(1).select(*[(F.lit(keys[c]) if c in keys else F.lit(rate) if c == "rate" else cutover if c == "valid_from" else F.lit(None)).cast(t).alias(c) for c, t in rates.dtypes])

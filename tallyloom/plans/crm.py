@@ -225,8 +225,10 @@ t AS (SELECT o_orderkey, lower(""" + d.month_name("o_orderdate") + """) AS label
 
 @lens
 def not_in_null_aware(d):
-    """NOT IN over a list that holds a null keeps no row; NOT EXISTS keeps what does not match."""
-    return "WITH x AS (SELECT CASE WHEN s_suppkey % 2 = 0 THEN s_nationkey END AS k FROM supplier) SELECT n_nationkey AS nation, n_nationkey NOT IN (SELECT k FROM x WHERE k IS NOT NULL) AS not_in, NOT EXISTS (SELECT 1 FROM x WHERE x.k = n_nationkey) AS not_exists FROM nation WHERE n_nationkey NOT IN (SELECT k FROM x WHERE k IS NOT NULL) OR n_nationkey < 3"
+    """NOT IN over a list that holds a null keeps no row; NOT EXISTS, and NOT IN over what is not null, keep what does not match."""
+    x = "SELECT CASE WHEN s_suppkey % 2 = 0 THEN s_nationkey END AS k FROM supplier WHERE s_suppkey % 3 <> 0"
+    return f"""SELECT 'not_in' AS op, n_nationkey AS nation FROM nation WHERE n_nationkey NOT IN ({x}) UNION ALL SELECT 'not_in_known', n_nationkey FROM nation WHERE n_nationkey NOT IN (SELECT k FROM ({x}) y WHERE k IS NOT NULL)
+UNION ALL SELECT 'not_exists', n_nationkey FROM nation WHERE NOT EXISTS (SELECT 1 FROM ({x}) z WHERE z.k = n_nationkey) UNION ALL SELECT 'none_left', count(*) FROM nation WHERE n_nationkey NOT IN ({x})"""
 
 
 @lens

@@ -11,8 +11,12 @@ from pyspark.sql import functions as F
 
 IDENTIFIER = re.compile(r"[a-z_][a-z0-9_]*")
 MOST_KEYS = 32
-#: Columns that say where a row comes from; a lens may not filter by them.
-RESERVED = frozenset({"tenant_id", "connector", "ingested_at", "refreshed_at", "previous_version", "batch_id", "authority", "valid_from", "valid_to"})
+#: Columns that say where a row comes from, when, and which version it is; a lens may not filter by them.
+RESERVED = frozenset({
+    "id", "tenant_id", "client_id", "source_connector", "source_id", "ingested_at", "refreshed_at", "previous_version_id",
+    "ingestion_batch_id", "authority", "created_at", "updated_at", "valid_from", "valid_to", "_valid_from", "_valid_to",
+    "is_current", "history_id", "record_id", "changed_by", "change_reason",
+})
 
 
 class FilterError(ValueError):

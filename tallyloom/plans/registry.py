@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import session
-from . import crm, evidence, money, steps, trust
+from . import crm, evidence, jobs, money, steps, trust
 from .dialect import DUCK, SPARK
 
 FAMILIES = (money, evidence, trust, crm)
+#: Modules of DataFrame queries with separately written SQL.
+STEPS = (steps, jobs)
 
 
 def _query(make: Callable) -> Callable[[SparkSession, str], DataFrame]:
@@ -35,9 +37,9 @@ def _pinned(f: Callable) -> Callable[[SparkSession, str], DataFrame]:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     lenses = {f"q_{name}": _query(make) for family in FAMILIES for name, make in family.LENSES.items()}
-    return lenses | {f"q_{name}": _pinned(f) for name, f in steps.QUERIES.items()}
+    return lenses | {f"q_{name}": _pinned(f) for module in STEPS for name, f in module.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
     lenses = {f"q_{name}": make(DUCK) for family in FAMILIES for name, make in family.LENSES.items()}
-    return lenses | {f"q_{name}": sql for name, sql in steps.SQL.items()}
+    return lenses | {f"q_{name}": sql for module in STEPS for name, sql in module.SQL.items()}

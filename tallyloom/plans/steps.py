@@ -56,12 +56,16 @@ def asof_rate(spark, d):
     return R.as_of_join(e.where("event_type = 'purchase'").select("event_id", "user_id", "ts"), rates, ["user_id"], "ts", "since", ["rate", "rate_id"]).drop("ts")
 
 
-@query("""WITH w AS (SELECT o_orderkey AS invoice, greatest(0, o_totalprice / 20) AS refund FROM orders WHERE o_orderstatus = 'F'), l AS (SELECT l_orderkey AS invoice, l_linenumber AS line, l_suppkey AS partner, l_extendedprice AS gross FROM lineitem)
-SELECT invoice, line, partner, gross, least(round(refund * gross / sum(gross) OVER (PARTITION BY invoice), 2), gross) AS netted FROM l JOIN w USING (invoice)""")
+@query("""WITH w AS (SELECT o_orderkey AS invoice, CAST(round(greatest(0, o_totalprice) * 100) AS HUGEINT) // 20 AS refund FROM orders WHERE o_orderstatus = 'F'),
+l AS (SELECT l_orderkey AS invoice, l_linenumber AS line, l_suppkey AS partner, l_extendedprice AS gross, CAST(round(l_extendedprice * 100) AS HUGEINT) AS u FROM lineitem),
+s AS (SELECT *, sum(u) OVER (PARTITION BY invoice) AS total FROM l JOIN w USING (invoice))
+SELECT invoice, line, partner, gross, CAST(least((2 * refund * u + CAST(total AS HUGEINT)) // (2 * CAST(total AS HUGEINT)), u) AS DOUBLE) / 100 AS netted FROM s""")
 def pro_rata(spark, d):
-    w = read(spark, d, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("invoice"), F.greatest(F.lit(0.0), F.col("o_totalprice") / 20).alias("refund"))
+    price = F.greatest(F.lit(0), F.round(F.col("o_totalprice") * 100).cast("decimal(18,0)"))
+    w = read(spark, d, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("invoice"), (F.floor(price / 20) / 100).alias("refund"))
     lines = read(spark, d, "lineitem").select(F.col("l_orderkey").alias("invoice"), F.col("l_linenumber").alias("line"), F.col("l_suppkey").alias("partner"), F.col("l_extendedprice").alias("gross"))
-    return R.allocate(lines, w, "invoice", "gross", "refund", "netted").select("invoice", "line", "partner", "gross", "netted")
+    out = R.allocate(lines, w, "invoice", "gross", "refund", "netted")
+    return out.select("invoice", "line", "partner", "gross", F.col("netted").cast("double").alias("netted"))
 
 
 @query("""WITH n AS (SELECT p_partkey, p_type, p_size FROM part WHERE p_partkey % 7 <> 0), o AS (SELECT p_partkey, p_type, CASE WHEN p_partkey % 13 = 0 THEN p_size + 1 ELSE p_size END AS p_size FROM part WHERE p_partkey % 5 <> 0)
@@ -156,9 +160,16 @@ def set_rate(spark, d):
     return out.select("brand", "rate", F.col("valid_from").cast("string").alias("valid_from"), F.col("valid_to").cast("string").alias("valid_to"))
 
 
+def _event_stream(spark, d):
+    schema = read(spark, d, "events").schema
+    raw = spark.read.parquet(f"{d}/events.parquet").schema
+    stream = spark.readStream.schema(raw).parquet(f"{d}/events.parque[t]")
+    return stream.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def _windowed(spark, d, width, slide=None):
-    out = S.tumbling(read(spark, d, "events"), "ts", width, ["event_type"], F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"), slide=slide)
-    return out.select(F.unix_seconds("window.start").alias("start"), "event_type", "n", "total")
+    out = S.tumbling(_event_stream(spark, d), "ts", width, ["event_type"], F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"), slide=slide)
+    return S.finish(out.select(F.unix_seconds("window.start").alias("start"), "event_type", "n", "total"), shared_folder(spark, "window"))
 
 
 @query("SELECT CAST(floor(epoch(ts) / 3600) * 3600 AS BIGINT) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
@@ -174,22 +185,29 @@ def stream_sliding(spark, d):
 @query("""WITH g AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) <= INTERVAL 2 HOUR THEN 0 ELSE 1 END AS new FROM events), s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM g)
 SELECT user_id, CAST(floor(epoch(min(ts))) AS BIGINT) AS start, count(*) AS n FROM s GROUP BY user_id, sid""")
 def stream_session(spark, d):
-    out = S.sessions(read(spark, d, "events"), "ts", "2 hours", ["user_id"], F.count("*").alias("n"))
-    return out.select("user_id", F.unix_seconds("session_window.start").alias("start"), "n")
+    out = S.sessions(_event_stream(spark, d), "ts", "2 hours", ["user_id"], F.count("*").alias("n"))
+    return S.finish(out.select("user_id", F.unix_seconds("session_window.start").alias("start"), "n"), shared_folder(spark, "session"))
 
 
-def _event_stream(spark, d):
-    schema = read(spark, d, "events").schema
-    raw = spark.read.parquet(f"{d}/events.parquet").schema
-    stream = spark.readStream.schema(raw).parquet(f"{d}/events.parque[t]")
-    return stream.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+@query("SELECT event_id, user_id, event_type FROM events")
+def stream_dedupe(spark, d):
+    """Each event arrives three times and comes out once."""
+    thrice = _event_stream(spark, d).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(3))))
+    out = S.deduplicated(thrice, "event_id", "ts").select("event_id", "user_id", "event_type")
+    return S.finish(out, shared_folder(spark, "dedupe"), "append")
+
+
+@query("""WITH x AS (SELECT user_id, count(*) FILTER (WHERE event_type = 'purchase') AS versions, arg_max(event_type, (ts, event_id)) FILTER (WHERE event_type IN ('purchase', 'error')) AS last FROM events GROUP BY user_id)
+SELECT user_id, versions, CASE WHEN last = 'purchase' AND versions > 1 THEN 'restated' WHEN last = 'purchase' THEN 'closed' WHEN versions > 0 THEN 'blocked' ELSE 'open' END AS state FROM x""")
+def stream_period_states(spark, d):
+    return S.finish(S.period_states(_event_stream(spark, d)), shared_folder(spark, "states"), "update", ("user_id",))
 
 
 @query("""SELECT user_id, arg_max(event_type, (ts, event_id)) AS last_type, max(ts) IS NOT NULL AS seen FROM events GROUP BY user_id""")
 def stream_scd_ingest(spark, d):
     """The stream runs to its end through the keyed sink; its current table is the result."""
     root = shared_folder(spark, "ingest")
-    start = spark.createDataFrame([], "user_id long, last_type string, refreshed_at long")
+    start = spark.createDataFrame([], "user_id long, last_type string, ts timestamp, event_id long, refreshed_at long")
     sink = S.ScdSink(spark, f"{root}/tables", ["user_id"], ["ts", "event_id"], start)
 
     def put(batch: DataFrame, batch_id: int) -> None:
@@ -219,7 +237,7 @@ def text_chunks(spark, d):
     return search.index_texts(docs).select("source_id", "chunk_index", F.length("chunk").alias("size"), "hash")
 
 
-@query("SELECT doc_id, CASE WHEN contains(text, '@') THEN regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}', '<email>', 'g')[:2000] ELSE text[:2000] END AS redacted FROM documents")
+@query("SELECT doc_id, CASE WHEN contains(text, '@') THEN regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}', '<email>', 'g') ELSE text END AS redacted FROM documents")
 def redact_email(spark, d):
     return read(spark, d, "documents").select("doc_id", T.redact_emails(F.col("text")).alias("redacted"))
 
@@ -228,7 +246,7 @@ def redact_email(spark, d):
 def line_classifier(spark, d):
     o = read(spark, d, "orders")
     word = F.when(F.col("o_orderpriority").startswith("1-"), "refund").when(F.col("o_orderpriority").startswith("2-"), "management").otherwise("fee")
-    label = F.concat(F.date_format("o_orderdate", "MMMM yyyy"), F.lit(" - Amazon - "), word)
+    label = F.concat(F.date_format("o_orderdate", "MMMM yyyy"), F.lit(" - Marketplace - "), word)
     c = T.classify_line(label)
     return o.select(F.col("o_orderkey").alias("k"), c["fee_type"].alias("fee_type"), c["month"].cast("string").alias("month"), c["is_base"].alias("is_base"))
 
@@ -247,10 +265,12 @@ def tenant_lens(spark, d):
     return Tenant("a").apply(lens, {"customer": c}).select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
 
 
-@query("SELECT event_id, CASE WHEN json_extract_string(props, '$.k') IS NOT NULL THEN '{\"k\":\"' || json_extract_string(props, '$.k') || '\",\"kind\":\"' || event_type || '\"}' ELSE '{\"kind\":\"' || event_type || '\"}' END AS merged FROM events")
+@query("""SELECT event_id, CASE WHEN json_extract(props, '$.k') IS NOT NULL THEN '{"k":' || CAST(json_extract(props, '$.k') AS VARCHAR) || ',' ELSE '{' END || '"kind":"' || event_type || '","nested":{"id":' || event_id || ',"on":' || CASE WHEN value > 50 THEN 'true' ELSE 'false' END || '}}' AS merged FROM events""")
 def json_merge(spark, d):
+    """Numbers, booleans and nested objects keep their types."""
     e = read(spark, d, "events")
-    return e.select("event_id", T.merge_json(F.col("props"), F.to_json(F.struct(F.col("event_type").alias("kind")))).alias("merged"))
+    nested = F.struct(F.col("event_id").alias("id"), (F.col("value") > 50).alias("on"))
+    return e.select("event_id", T.merge_json(F.col("props"), F.to_json(F.struct(F.col("event_type").alias("kind"), nested.alias("nested")))).alias("merged"))
 
 
 @query("SELECT 'companies' AS kind, 50 AS n UNION ALL SELECT 'contacts', 200 UNION ALL SELECT 'deals', 300 UNION ALL SELECT 'tickets', 500 UNION ALL SELECT 'documents', 100")

@@ -50,6 +50,53 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
+class Files:
+    """Small files beside tables, in whatever store Spark writes to."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.root, self._jvm, self._conf = root, spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def _at(self, name: str):
+        path = self._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        return path, path.getFileSystem(self._conf)
+
+    def exists(self, name: str) -> bool:
+        path, fs = self._at(name)
+        return fs.exists(path)
+
+    def names(self, folder: str) -> list[str]:
+        path, fs = self._at(folder)
+        return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+
+    def read(self, name: str) -> str:
+        path, fs = self._at(name)
+        stream = fs.open(path)
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+    def write(self, name: str, text: str, replace: bool = True) -> bool:
+        """Whole or not at all: under another name first.  Without ``replace`` a file that is there stays, and the answer is False."""
+        path, fs = self._at(name)
+        part, _ = self._at(f"{name}.{uuid.uuid4().hex}.part")
+        if not replace and fs.exists(path):
+            return False
+        stream = fs.create(part, True)
+        stream.write(text.encode())
+        stream.close()
+        if replace:
+            fs.delete(path, False)
+        if fs.rename(part, path):
+            return True
+        fs.delete(part, False)
+        return False
+
+    def remove(self, name: str) -> bool:
+        path, fs = self._at(name)
+        return fs.delete(path, True)
+
+
 def views(spark: SparkSession, sf_dir: str, sql: str) -> None:
     """Register the base tables that a statement names.  A view is resolved when the statement is; later ones may replace it."""
     for name in TABLES:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -10,8 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators.relational import distinct_on
+from ..operators.relational import distinct_on, latest_by
 from ..operators.scd import merge
+from ..session import Files
 
 #: Seconds by which a cursor is set back, so that late records are seen again.
 REWIND = 300
@@ -44,29 +46,77 @@ def sessions(df: DataFrame, at: str, gap: str, keys: list[str], *aggregates: Col
 class ScdSink:
     """A ``foreachBatch`` target: merges each batch into versioned current and history tables.
 
-    A batch writes ``current/v=<batch>`` anew and ``history/batch=<batch>`` beside the others, so a batch that is
-    repeated after a failure overwrites its own output and nothing is counted twice.
+    Rows are dealt by a hash of the key into ``buckets``; a batch reads and writes only the buckets that it has rows of,
+    to ``current/v=<batch>``, and its changes to ``history/batch=<batch>``.  ``manifest/<batch>`` then names the version
+    of each bucket; the newest manifest is the state, so a new process goes on from where the last one ended, and a
+    batch that is repeated after a failure begins from the manifest before it and writes the same again.  Versions that
+    neither of the last two manifests names are removed.
+
+    Of a batch's rows of a key the last by ``order`` counts, and only if it comes after the one that the table has: late
+    rows change nothing.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: list[str], order: list[str], start: DataFrame):
-        self.spark, self.path, self.keys, self.order, self.schema = spark, path, keys, order, start.schema
-        start.write.mode("overwrite").parquet(f"{path}/current/v=-1")
-        self.version = -1
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], order: list[str], start: DataFrame, buckets: int = 16):
+        self.spark, self.path, self.keys, self.order, self.buckets = spark, path, keys, order, buckets
+        self.files = Files(spark, path)
+        self.schema = start.schema
+        if self._state() is None:
+            self._write(start.withColumn("__b", self._bucket()), -1)
+            self._commit(-1, dict.fromkeys(range(buckets), -1))
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+
+    def _write(self, rows: DataFrame, version: int) -> None:
+        rows.write.mode("overwrite").partitionBy("__b").parquet(f"{self.path}/current/v={version}")
+
+    def _commit(self, batch_id: int, versions: dict[int, int]) -> None:
+        self.files.write(f"manifest/{batch_id}", json.dumps(versions))
+
+    def _state(self, before: int | None = None) -> tuple[int, dict[int, int]] | None:
+        """(batch, version of each bucket) of the newest manifest, or of the newest before a batch."""
+        known = [n for n in map(int, self.files.names("manifest")) if before is None or n < before]
+        if not known:
+            return None
+        return max(known), {int(k): v for k, v in json.loads(self.files.read(f"manifest/{max(known)}")).items()}
+
+    def _read(self, versions: dict[int, int]) -> DataFrame:
+        have = [(v, k) for k, v in versions.items() if self.files.exists(f"current/v={v}/__b={k}")]
+        out = self.spark.createDataFrame([], self.schema)
+        for v in sorted({v for v, _ in have}):
+            paths = [f"{self.path}/current/v={v}/__b={k}" for w, k in have if w == v]
+            out = out.unionByName(self.spark.read.schema(self.schema).parquet(*paths))
+        return out
 
     def current(self) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/current/v={self.version}")
+        return self._read(self._state()[1])
 
     def history(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/history")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        rows = distinct_on(batch, self.keys, *[F.col(c).desc() for c in self.order])
-        at = F.lit(batch_id).cast("long")
-        before = self.spark.read.schema(self.schema).parquet(f"{self.path}/current/v={batch_id - 1}")
-        done = merge(before, rows, self.keys, at, "refreshed_at")
-        done.current.write.mode("overwrite").parquet(f"{self.path}/current/v={batch_id}")
-        done.history.write.mode("overwrite").parquet(f"{self.path}/history/batch={batch_id}")
-        self.version = batch_id
+        _, versions = self._state(batch_id)
+        rows = distinct_on(batch, self.keys, *[F.col(c).desc() for c in self.order]).withColumn("__b", self._bucket()).persist()
+        try:
+            touched = [r["__b"] for r in rows.select("__b").distinct().collect()]  # as many as there are buckets, at most
+            before = self._read({k: versions[k] for k in touched})
+            was = before.select(*[F.col(k).alias(f"__{k}") for k in self.keys], F.struct(*self.order).alias("__was"))
+            same = F.lit(True)
+            for k in self.keys:
+                same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+            late = rows.join(was, same & (F.col("__was") >= F.struct(*self.order)), "left_anti")
+            done = merge(before, late.drop("__b"), self.keys, F.lit(batch_id).cast("long"), "refreshed_at", silent=self.order)
+            if touched:
+                self._write(done.current.withColumn("__b", self._bucket()), batch_id)
+            done.history.write.mode("overwrite").parquet(f"{self.path}/history/batch={batch_id}")
+        finally:
+            rows.unpersist()
+        new = versions | dict.fromkeys(touched, batch_id)
+        self._commit(batch_id, new)
+        used = set(new.values()) | set(versions.values())
+        for name in self.files.names("current"):
+            if int(name.split("=")[1]) not in used:
+                self.files.remove(f"current/{name}")
 
 
 def ingest(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str) -> None:
@@ -75,14 +125,31 @@ def ingest(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint
     query.awaitTermination()
 
 
+def finish(stream: DataFrame, path: str, mode: str = "complete", keys: tuple[str, ...] = ()) -> DataFrame:
+    """Run a stream over all that is there and read what it put out.
+
+    That is the last version in complete mode, the last row of each of ``keys`` in update mode, all rows in append mode.
+    """
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("__batch", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(f"{path}/out/{batch_id}")
+
+    query = stream.writeStream.outputMode(mode).foreachBatch(put).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
+    query.awaitTermination()
+    spark, names = stream.sparkSession, sorted(map(int, Files(stream.sparkSession, path).names("out")))
+    chosen = names[-1:] if mode == "complete" else names
+    out = spark.read.parquet(*[f"{path}/out/{n}" for n in chosen])
+    return (latest_by(out, keys, "__batch") if mode == "update" else out).drop("__batch")
+
+
 def _states(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     closed, versions = state.get if state.exists else (False, 0)
-    for rows in batches:
-        for kind in rows.sort_values(["ts", "event_id"])["event_type"]:
-            if kind == "purchase":
-                closed, versions = True, versions + 1
-            elif kind == "error":
-                closed = False
+    rows = pd.concat(batches)  # a key's rows come in several chunks, which are not in order among each other
+    for kind in rows.sort_values(["ts", "event_id"])["event_type"]:
+        if kind == "purchase":
+            closed, versions = True, versions + 1
+        elif kind == "error":
+            closed = False
     state.update((bool(closed), int(versions)))
     name = "restated" if closed and versions > 1 else "closed" if closed else "blocked" if versions else "open"
     yield pd.DataFrame({"user_id": [key[0]], "state": [name], "versions": [versions]})

@@ -100,9 +100,9 @@ def test_json_right_wins(spark):
     assert [r[0] for r in df.select(T.merge_json(F.col("l"), F.col("r"))).collect()] == ['{"a":"1","b":"3"}', '{"y":"2","z":"1"}']
 
 
-def test_cosine_of_nothing_is_null(spark):
+def test_cosine_of_nothing_is_null_and_the_shorter_one_counts(spark):
     df = spark.createDataFrame([([1.0, 0.0], [1.0, 0.0]), ([0.0, 0.0], [1.0, 0.0]), ([1.0], [1.0, 2.0]), ([], [])], "a array<double>, b array<double>")
-    assert [r[0] for r in df.select(M.cosine(F.col("a"), F.col("b"))).collect()] == [1.0, None, None, None]
+    assert [r[0] for r in df.select(M.cosine(F.col("a"), F.col("b"))).collect()] == [1.0, None, 1.0, None]
 
 
 def test_index_skips_what_it_has(spark):

@@ -1,4 +1,4 @@
-"""Every query against an independent engine on the smallest tables."""
+"""Every query against an independent engine, on tables large enough that order and rounding show."""
 
 import datetime
 import decimal
@@ -23,6 +23,11 @@ def plain(v):
     return str(v)
 
 
+@pytest.fixture(scope="module")
+def sf():
+    return os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
+
+
 @pytest.fixture(scope="module")
 def duck(sf):
     c = duckdb.connect()
