@@ -2,11 +2,14 @@
 
 A container is a tree of boxes (32-bit size, four-letter type, body).  The writer stores a payload losslessly as 8-bit
 samples; the reader walks nested boxes, decodes the sample tables (stts, stsc, stsz, stco or co64, stss) and returns
-codec, duration and the byte ranges of the keyframes without decoding the payload.
+codec, duration and the byte ranges of the keyframes without decoding the payload.  Each track's tables are its own; a
+container whose samples lie in movie fragments is refused, for its tables are elsewhere.
 
 Defined results: a null text is an empty one, an empty payload is padded to 64 zero bytes, equal texts give equal
-containers, other columns of the input are kept out of the result, an empty table gives an empty table, and bytes that
-are no container raise ValueError.
+containers (ties and repeated rows alike), a very long text is stored whole (64-bit sizes and offsets past 4 GB), other
+columns of the input are kept out of the result, an empty table gives an empty table, and bytes that are no container
+raise ValueError.  A track without samples has no ranges and no keyframes; one without a sync table has all samples as
+keyframes.
 """
 
 from __future__ import annotations
@@ -121,42 +124,55 @@ STBL = "/moov/trak/mdia/minf/stbl/"
 
 def parse(media: bytes) -> Track:
     """The first track's tables; offsets are checked against the container."""
+    tracks = parse_all(media)
+    if not tracks:
+        raise ValueError("no track")
+    return tracks[0]
+
+
+def parse_all(media: bytes) -> list[Track]:
+    """Each track's tables, in the container's order."""
     data = memoryview(media)
-    boxes: dict[str, tuple[int, int]] = {}
+    per_track: list[dict[str, tuple[int, int]]] = []
     for path, begin, end in walk(data, 0, len(data)):
-        boxes.setdefault(path, (begin, end))
+        if path == "/moof":
+            raise ValueError("movie fragments are not read")
+        if path == "/moov/trak":
+            per_track.append({})
+        elif path.startswith("/moov/trak/"):
+            per_track[-1].setdefault(path, (begin, end))
+    return [_track(data, boxes) for boxes in per_track]
+
 
-    def u32(path: str, at: int, n: int = 1) -> tuple[int, ...]:
+def _track(data: memoryview, boxes: dict[str, tuple[int, int]]) -> Track:
+    def read(path: str, at: int, n: int = 1, code: str = "I") -> tuple[int, ...]:
         if path not in boxes:
             raise ValueError(f"no box {path}")
         begin, end = boxes[path]
-        if begin + at + 4 * n > end:
+        if begin + at + struct.calcsize(f">{n}{code}") > end:
             raise ValueError(f"box {path} is cut off")
-        return struct.unpack_from(f">{n}I", data, begin + at)
-
-    timescale, _ = u32("/moov/trak/mdia/mdhd", 12, 2)
-    begin, _ = boxes[STBL + "stsd"]
-    codec = bytes(data[begin + 12 : begin + 16]).decode("latin-1")
-    (runs,) = u32(STBL + "stts", 4)
-    steps = u32(STBL + "stts", 8, 2 * runs)
+        return struct.unpack_from(f">{n}{code}", data, begin + at)
+
+    mdhd = "/moov/trak/mdia/mdhd"
+    (version,) = read(mdhd, 0, 1, "B")
+    (timescale,) = read(mdhd, 20 if version else 12)
+    codec = struct.pack(">I", *read(STBL + "stsd", 12)).decode("latin-1")
+    (runs,) = read(STBL + "stts", 4)
+    steps = read(STBL + "stts", 8, 2 * runs)
     duration = sum(n * d for n, d in zip(steps[::2], steps[1::2]))
-    fixed, frames = u32(STBL + "stsz", 4, 2)
-    sizes = None if fixed else u32(STBL + "stsz", 12, frames)
-    if STBL + "co64" in boxes:
-        (chunks,) = u32(STBL + "co64", 4)
-        begin, end = boxes[STBL + "co64"]
-        if begin + 8 + 8 * chunks > end:
-            raise ValueError("box co64 is cut off")
-        offsets = struct.unpack_from(f">{chunks}Q", data, begin + 8)
-    else:
-        (chunks,) = u32(STBL + "stco", 4)
-        offsets = u32(STBL + "stco", 8, chunks)
-    (runs,) = u32(STBL + "stsc", 4)
-    flat = u32(STBL + "stsc", 8, 3 * runs)
+    fixed, frames = read(STBL + "stsz", 4, 2)
+    sizes = None if fixed else read(STBL + "stsz", 12, frames)
+    name, code = (STBL + "co64", "Q") if STBL + "co64" in boxes else (STBL + "stco", "I")
+    (chunks,) = read(name, 4)
+    offsets = read(name, 8, chunks, code)
+    (runs,) = read(STBL + "stsc", 4)
+    flat = read(STBL + "stsc", 8, 3 * runs)
     firsts = [*flat[::3], chunks + 1]
+    if runs and (firsts[0] != 1 or any(x >= y for x, y in zip(firsts, firsts[1:]))):
+        raise ValueError("the runs of chunks are out of order")
     if STBL + "stss" in boxes:
-        (n,) = u32(STBL + "stss", 4)
-        keys = iter(u32(STBL + "stss", 8, n))
+        (n,) = read(STBL + "stss", 4)
+        keys = iter(read(STBL + "stss", 8, n))
     else:
         keys = iter(range(1, frames + 1))
     key = next(keys, 0)
@@ -165,6 +181,8 @@ def parse(media: bytes) -> Track:
         for chunk in range(firsts[run], firsts[run + 1]):
             at = start = offsets[chunk - 1]
             count = flat[3 * run + 1]
+            if frame + count > frames + 1:
+                raise ValueError("the sample tables disagree")
             if sizes is None:
                 while key and key < frame + count:
                     keyframes.append((start + (key - frame) * fixed, fixed))
@@ -194,26 +212,26 @@ def payload_of(media: bytes, track: Track) -> bytes:
 def feature(track: Track) -> str:
     """codec, duration and keyframe ranges in one line: count, first and last range, crc32 of them all."""
     packed = b"".join(struct.pack(">QQ", *r) for r in track.keyframes)
-    first, last = track.keyframes[0], track.keyframes[-1]
+    ends = [f"{o}+{n}" for o, n in (track.keyframes[:1] + track.keyframes[-1:])] or ["", ""]
     return (
         f"codec={track.codec.strip()};timescale={track.timescale};duration={track.duration};frames={track.frames};"
-        f"keyframes={len(track.keyframes)};first={first[0]}+{first[1]};last={last[0]}+{last[1]};ranges_crc32={zlib.crc32(packed)}"
+        f"keyframes={len(track.keyframes)};first={ends[0]};last={ends[1]};ranges_crc32={zlib.crc32(packed)}"
     )
 
 
 SCHEMA = (
     "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, "
-    "media_sha256 string, feature string"
+    "media_sha256 string, feature string, codec string, duration double, keyframes array<struct<offset:long,size:long>>"
 )
 
 
 def media_columns(docs: DataFrame, keep_media: bool = False) -> DataFrame:
     """Store each text in a container, read it back from its tables and describe it.
 
-    ``keep_media`` adds the container (binary) and its keyframes (array of offset and size).  One pass without a
-    shuffle; memory holds one batch of rows.
+    codec, duration (in seconds) and keyframes (byte ranges in the container) are columns of their own; ``keep_media``
+    adds the container.  One pass without a shuffle; memory holds the described rows of one batch.
     """
-    schema = SCHEMA + (", media binary, keyframes array<struct<offset:long,size:long>>" if keep_media else "")
+    schema = SCHEMA + (", media binary" if keep_media else "")
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
@@ -229,9 +247,10 @@ def media_columns(docs: DataFrame, keep_media: bool = False) -> DataFrame:
                 payload = payload_of(media, track)
                 row = [
                     doc_id, len(data), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-UNIT:]),
-                    len(media), hashlib.sha256(media).hexdigest(), feature(track),
+                    len(media), hashlib.sha256(media).hexdigest(), feature(track), track.codec.strip(), track.duration / track.timescale,
+                    [{"offset": o, "size": n} for o, n in track.keyframes],
                 ]
-                rows.append(row + ([media, [{"offset": o, "size": n} for o, n in track.keyframes]] if keep_media else []))
+                rows.append(row + ([media] if keep_media else []))
             columns = zip(*rows) if rows else [[] for _ in out]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, out)], schema=out)
 
