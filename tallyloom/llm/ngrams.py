@@ -26,7 +26,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, Union, block_pairs, components, map_groups, maybe_in, utf8_view
@@ -291,8 +291,11 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     classes = sketches.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.first("sig").alias("sig"))
     classes = scratch.cut(classes.where("rep is not null"), "classes")
     # Buckets with two members or more.
-    keyed = classes.select("rep", "sig").mapInArrow(_bands, "key long, rep long")
-    met = scratch.cut(keyed.withColumn("m", F.count("*").over(Window.partitionBy("key"))).where("m > 1"), "met")
+    keyed = scratch.cut(classes.select("rep", "sig").mapInArrow(_bands, "key long, rep long"), "keyed", hashes=True)
+    # Counted before the shuffle, so a key that very many share is not one task's.
+    counts = scratch.cut(keyed.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "counts", hashes=True)
+    met = scratch.cut(keyed.join(counts, "key"), "met", hashes=True)
+    scratch.drop("keyed", "counts")
     small = met.where(F.col("m") <= BUCKET_BLOCK).groupBy("key").agg(F.array_sort(F.collect_list("rep")).alias("reps")).select("reps").distinct()
     small = small.withColumn("bucket", F.xxhash64("reps")).select("bucket", F.explode("reps").alias("rep"), F.size("reps").cast("long").alias("m"))
     large = met.where(F.col("m") > BUCKET_BLOCK).select(F.col("key").alias("bucket"), "rep", "m")
@@ -300,7 +303,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     members = members.join(classes.select("rep", "sig"), "rep").select("bucket", "block_i", "block_j", "block", "rep", "sig")
     forest = scratch.cut(map_groups(members, ["bucket", "block_i", "block_j"], _candidates(least), "a long, b long"), "forest")
     families = components(scratch, forest)
-    families = families.withColumn("m", F.count("*").over(Window.partitionBy("component")))
+    families = families.join(families.groupBy("component").agg(F.count("*").alias("m")), "component")
     families = scratch.cut(families.withColumnRenamed("node", "rep").join(classes.select("rep", "n", "digest"), "rep"), "families")
     # Each text once before the join, so that copies under one id are not shuffled.
     texts = maybe_in(rows, "doc_id", families.select("rep")).dropDuplicates(["doc_id", "digest"])
