@@ -248,13 +248,17 @@ FROM a JOIN f ON a.brand = f.brand JOIN n ON f.cohort = n.cohort GROUP BY f.coho
 
 @lens
 def concentration(d):
-    """Share of the month's collected money of the first brand, the first five, and the first three partners."""
-    return f"""WITH {LINES}, b AS (SELECT month, brand, sum(amount) AS v FROM line WHERE is_base AND status = 'paid' GROUP BY month, brand),
-r AS (SELECT month, v, row_number() OVER (PARTITION BY month ORDER BY v DESC, brand) AS rn, sum(v) OVER (PARTITION BY month) AS total FROM b),
-p AS (SELECT month, partner, sum(amount) AS v FROM line WHERE is_base AND status = 'paid' GROUP BY month, partner),
-q AS (SELECT month, v, row_number() OVER (PARTITION BY month ORDER BY v DESC, partner) AS rn FROM p), q3 AS (SELECT month, sum(v) AS v3 FROM q WHERE rn <= 3 GROUP BY month)
-SELECT CAST(r.month AS STRING) AS month, {ratio('sum(v) FILTER (WHERE rn = 1)', 'max(total)')} AS top1, {ratio('sum(v) FILTER (WHERE rn <= 5)', 'max(total)')} AS top5, {ratio('max(v3)', 'max(total)')} AS partners3
-FROM r JOIN q3 ON r.month = q3.month GROUP BY r.month"""
+    """Share of the month's collected money of the first brand, the first five, and the first three partners.
+
+    Totals are an aggregate of their own and ranks are cut at once, so that a month's groups are limited before they are
+    brought together, however many brands it has.
+    """
+    return f"""WITH {LINES}, b AS (SELECT month, brand, sum(amount) AS v FROM line WHERE is_base AND status = 'paid' GROUP BY month, brand), p AS (SELECT month, partner, sum(amount) AS v FROM line WHERE is_base AND status = 'paid' GROUP BY month, partner),
+total AS (SELECT month, sum(v) AS total FROM b GROUP BY month),
+b5 AS (SELECT * FROM (SELECT month, v, row_number() OVER (PARTITION BY month ORDER BY v DESC, brand) AS rn FROM b) x WHERE rn <= 5),
+p3 AS (SELECT * FROM (SELECT month, v, row_number() OVER (PARTITION BY month ORDER BY v DESC, partner) AS rn FROM p) y WHERE rn <= 3),
+top AS (SELECT month, sum(v) FILTER (WHERE rn = 1) AS v1, sum(v) AS v5 FROM b5 GROUP BY month), q3 AS (SELECT month, sum(v) AS v3 FROM p3 GROUP BY month)
+SELECT CAST(t.month AS STRING) AS month, {ratio('v1', 'total')} AS top1, {ratio('v5', 'total')} AS top5, {ratio('v3', 'total')} AS partners3 FROM total t JOIN top ON t.month = top.month JOIN q3 ON t.month = q3.month"""
 
 
 @lens

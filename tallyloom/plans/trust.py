@@ -78,15 +78,6 @@ def freshness_decay(d):
 SELECT user_id, round(100 * power(0.5, {d.hours(NOW, 'last_at')} / 24 / 7), 4) AS freshness, round(0.7 * 100 * power(0.5, {d.hours(NOW, 'last_at')} / 24 / 7) + 0.3 * mean, 4) AS blended FROM u"""
 
 
-@lens
-def gates(d):
-    """Eight gates a period: hard ones fail it, soft ones ask for review."""
-    return f"""WITH {LINES}, p AS (SELECT month, count(*) AS n, sum(amount) AS v, count(*) FILTER (WHERE NOT is_base) AS refunds, count(*) FILTER (WHERE status = 'open') AS open FROM line WHERE month >= DATE '1999-01-01' GROUP BY month),
-g AS (SELECT month, 'feeds_current' AS gate, 'hard' AS kind, n > 0 AS pass FROM p UNION ALL SELECT month, 'invariants_clean', 'hard', v > 0 FROM p UNION ALL SELECT month, 'refunds_posted', 'hard', refunds > 0 FROM p UNION ALL SELECT month, 'usage_reconciles', 'soft', open * 2 <= n FROM p
-UNION ALL SELECT month, 'fee_rate_coverage', 'soft', open * 50 <= n FROM p UNION ALL SELECT month, 'verdicts_current', 'soft', n >= 10 FROM p UNION ALL SELECT month, 'rates_on_file', 'soft', v > 100000 FROM p UNION ALL SELECT month, 'lines_reconciled', 'soft', refunds * 2 <= n FROM p)
-SELECT CAST(month AS STRING) AS month, gate, kind, CASE WHEN pass THEN 'passing' WHEN kind = 'hard' THEN 'failing' ELSE 'review' END AS signal FROM g"""
-
-
 PERIODS = """pin AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, o_orderkey AS version, CAST(o_totalprice AS DECIMAL(18,2)) AS figure, o_orderstatus AS st FROM orders),
 latest AS (SELECT month, max(version) AS version, max_by(figure, version) AS figure, count(*) AS versions FROM pin GROUP BY month)"""
 
@@ -141,13 +132,6 @@ def flag_resync(d):
     return """WITH f AS (SELECT c_custkey AS brand, c_acctbal > 0 AS cached, EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F') AS truth FROM customer) SELECT brand, cached, truth FROM f WHERE cached IS DISTINCT FROM truth"""
 
 
-@lens
-def expected_totals_gate(d):
-    """Month totals against a sidecar's, within 0.02."""
-    return f"""WITH {LINES}, t AS (SELECT month, sum(amount) AS total FROM line GROUP BY month), e AS (SELECT month, round(sum(amount), 2) + CASE WHEN month(month) = 7 THEN 1 ELSE 0 END AS expected FROM line GROUP BY month)
-SELECT CAST(t.month AS STRING) AS month, {money('t.total')} AS total, {money('e.expected')} AS expected, abs(t.total - e.expected) <= 0.02 AS pass FROM t JOIN e ON t.month = e.month"""
-
-
 @lens
 def property_drift(d):
     """Vendor's and registry's property lists: new, removed, changed type, same."""
@@ -160,8 +144,3 @@ def sync_health(d):
     """Last success, last attempt and runs by connector, and how fresh that is."""
     return f"""WITH r AS (SELECT event_type AS connector, user_id % 3 AS mode, ts, value > 20 AS ok FROM events), g AS (SELECT connector, mode, max(ts) FILTER (WHERE ok) AS last_ok, max(ts) AS last_try, count(*) AS runs FROM r GROUP BY connector, mode)
 SELECT connector, mode, runs, round({d.hours(NOW, 'last_ok')}, 4) AS hours, CASE WHEN last_ok IS NULL THEN 'never' WHEN {d.hours(NOW, 'last_ok')} <= 24 THEN 'fresh' WHEN {d.hours(NOW, 'last_ok')} <= 168 THEN 'stale' ELSE 'very_stale' END AS label FROM g"""
-
-
-@lens
-def close_board(d):
-    return f"""WITH {PERIODS}, g AS (SELECT month, min(figure) > 2000 AS pass FROM pin GROUP BY month) SELECT CAST(g.month AS STRING) AS month, g.pass, CASE WHEN l.versions > 1 THEN 'restated' ELSE 'closed' END AS state FROM g LEFT JOIN latest l ON g.month = l.month"""
