@@ -1,14 +1,18 @@
 import hashlib
 import re
+import struct
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tallyloom.llm import media, mixing, packing, pii, queries, urls
+from tallyloom.llm.common import utf8_view
 
 from .common import AWKWARD, awkward, clashing, empty
 
@@ -32,6 +36,49 @@ def test_what_is_no_container(data):
         media.parse(data)
 
 
+def box(kind, *body):
+    return struct.pack(">I4s", 8 + sum(map(len, body)), kind) + b"".join(body)
+
+
+def track_of(sizes, chunks, keys=None, wide=False, fixed=0):
+    """A trak box: sample sizes, chunks as (offset, samples), sync samples."""
+    full = lambda kind, *body: box(kind, b"\0\0\0\0", *body)
+    u = lambda *x: struct.pack(f">{len(x)}I", *x)
+    entry = box(b"mp4a", b"\0" * 28)
+    tables = [
+        full(b"stsd", u(1), entry), full(b"stts", u(1, len(sizes), 20)), full(b"stsc", u(len(chunks)), *[u(k + 1, n, 1) for k, (_, n) in enumerate(chunks)]),
+        full(b"stsz", u(fixed, len(sizes)), *([] if fixed else [u(*sizes)])),
+        full(b"co64", u(len(chunks)), struct.pack(f">{len(chunks)}Q", *[o for o, _ in chunks])) if wide else full(b"stco", u(len(chunks)), u(*[o for o, _ in chunks])),
+    ]
+    if keys is not None:
+        tables.append(full(b"stss", u(len(keys)), u(*keys)))
+    return box(b"trak", box(b"mdia", full(b"mdhd", u(0, 0, 1000, 0), b"\0" * 4), box(b"minf", box(b"stbl", *tables))))
+
+
+def test_samples_of_many_sizes_and_tracks():
+    """Two tracks with tables of their own kinds; a third without samples."""
+    first = track_of([5, 7, 11, 2], [(16, 3), (100, 1)], keys=[2, 4])
+    second = track_of([9, 9, 9], [(50, 3)], wide=True, fixed=9)
+    media_file = box(b"mdat", bytes(200)) + box(b"moov", first, second, track_of([], []))
+    a, b, c = media.parse_all(media_file)
+    assert a.ranges == [(16, 23), (100, 2)] and a.keyframes == [(21, 7), (100, 2)] and (a.codec, a.timescale, a.duration) == ("mp4a", 1000, 80)
+    assert b.ranges == [(50, 27)] and b.keyframes == [(50, 9), (59, 9), (68, 9)]
+    assert (c.frames, c.ranges, c.keyframes) == (0, [], []) and media.feature(c).endswith("keyframes=0;first=;last=;ranges_crc32=0")
+
+
+def test_containers_that_are_refused():
+    with pytest.raises(ValueError, match="leaves the container"):
+        media.parse(box(b"moov", track_of([5], [(10_000, 1)])))
+    with pytest.raises(ValueError, match="disagree"):
+        media.parse(box(b"moov", track_of([5, 5], [(0, 1)])))
+    with pytest.raises(ValueError, match="fragments"):
+        media.parse(box(b"moov", track_of([], [])) + box(b"moof"))
+    with pytest.raises(ValueError, match="no track"):
+        media.parse(box(b"moov"))
+    with pytest.raises(ValueError, match="cut off"):
+        media.parse(box(b"moov", box(b"trak", box(b"mdia", box(b"mdhd", b"\0\0\0\0")))))
+
+
 def test_media_of_awkward_rows(spark):
     got = media.media_columns(clashing(awkward(spark)), keep_media=True).collect()
     assert len(got) == len(AWKWARD)
@@ -40,6 +87,8 @@ def test_media_of_awkward_rows(spark):
         payload = media.pad((text or "").encode())
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len((text or "").encode()), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
         assert hashlib.sha256(bytes(r.media)).hexdigest() == r.media_sha256 and len(r.media) == r.media_bytes
+        assert [payload[k : k + 64] for k in range(0, len(payload), 64 * media.KEY_EVERY)] == [bytes(r.media)[k.offset : k.offset + k.size] for k in r.keyframes]
+        assert r.codec == "raw" and abs(r.duration - len(payload) / media.TIMESCALE) < 1e-9
     assert media.media_columns(empty(spark)).count() == 0
 
 
@@ -126,16 +175,61 @@ def test_packing_by_many_rounds(spark, monkeypatch):
     assert bins <= least * 1.02 + 1
 
 
+@pytest.mark.parametrize("small", [0, 1, 30])
+def test_bins_over_half_full_never_land_in_one_task(spark, monkeypatch, small):
+    """Of documents over half a sequence no two fit together, so rounds would not shrink; short ones still go with them."""
+    monkeypatch.setattr(packing, "ROWS_A_PARTITION", 40)
+    most, packed = [], packing._round
+
+    def spy(items, capacity):
+        most.append(max(r["count"] for r in items.groupBy(F.spark_partition_id().alias("p")).count().collect()))
+        return packed(items, capacity)
+
+    monkeypatch.setattr(packing, "_round", spy)
+    rows = [(i, "a " * (35 + i % 20)) for i in range(400)] + [(1000 + i, "a") for i in range(small)]
+    bins, least = check_packing(spark.createDataFrame(rows, "doc_id long, text string"), rows, 64)
+    assert max(most) < 120 and len(most) <= 4
+    assert 400 <= bins <= 403
+
+
 def test_packing_awkward_rows(spark):
     check_packing(clashing(awkward(spark)), AWKWARD)
     assert packing.pack(empty(spark)).count() == 0
 
 
-@pytest.mark.parametrize("text", ["a b\x0bc\x1cd  <|endoftext|> X<|ENDOFTEXT|>y", "\u0130stanbul \u03a3\u0391\u03a3 \u2603 it's WE'LL 12ab,.! \u00e9  z", "  ", "A\u2603b \ufb01 \u00bd \u2122 \u00ad\u200bq", "e\u0301 \u212a \uac00 x\u0301y,.", "don't \"quoted\" (x) #tag 3.14 a_b"])
-def test_ids_are_the_tokenizer_s(text):
-    ids = packing.Ids(packing.tokenizer_path())
-    want = np.array(ids.model.encode(text, add_special_tokens=False).ids + [1], "<u4").tobytes()
-    assert ids.of([text, text]) == [want, want] and ids.of([text]) == [want]
+IDS = packing.Ids(packing.tokenizer_path())
+ODD_TEXTS = [
+    "a b\x0bc\x1cd  <|endoftext|> X<|ENDOFTEXT|>y", "\u0130stanbul \u03a3\u0391\u03a3 \u2603 it's WE'LL 12ab,.! \u00e9  z", "  ", "", "A\u2603b \ufb01 \u00bd \u2122 \u00ad\u200bq",
+    "e\u0301 \u212a \uac00 x\u0301y,.", "don't \"quoted\" (x) #tag 3.14 a_b", "'s 's' ''s x's'll'l'LLy 're've'v'e 'd't!'t 't's", "'", "a'", "l'\u00e9t\u00e9 's\u00e9 '\u00e9s", "=\u0338 1\u20e3 a\u00a0b \u0085 \u2028x",
+    "<|startoftext|>a <| |> a<|b", "\u1100\u1161\u11a8 \u212b\u2126 \u01c5 \u02b0\u0660",
+]
+
+
+def check_ids(texts):
+    raw, starts, ends = utf8_view(pa.array(texts, pa.string()))
+    got, upto = IDS.of(raw, starts, ends)
+    want = [IDS.model.encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
+    assert [x.tolist() for x in np.split(got, upto[:-1])] == want
+
+
+def test_ids_are_the_tokenizer_s():
+    check_ids(ODD_TEXTS + [None] + ODD_TEXTS)
+    for text in ODD_TEXTS:
+        check_ids([text])
+
+
+@given(st.lists(st.text(alphabet="abstlrevdm'S \n12.,<|>\u00e9\u00c9\u0301\u2019\u03a3\x0b\x1d", max_size=40), min_size=1, max_size=8))
+@settings(max_examples=300, deadline=None)
+def test_ids_of_noise(texts):
+    check_ids(texts)
+
+
+def test_ids_of_a_long_text_in_parts():
+    text = " ".join(ODD_TEXTS[k % len(ODD_TEXTS)] for k in range(300)) + "x" * 500
+    raw, starts, ends = utf8_view(pa.array(["skipped", text]))
+    for size in (100, 333, 10_000):
+        got = np.concatenate(list(IDS.of_long(raw, int(starts[1]), int(ends[1]), size)))
+        assert got.tolist() == IDS.model.encode(text, add_special_tokens=False).ids + [1]
 
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
@@ -204,6 +298,54 @@ def test_terms_of_rare_entities_far_away_and_everywhere(spark):
     assert clean[0] == f"[TERM] first {far} [EMAIL] {far} [TERM] last 0" and clean[10] == "[TERM] both [IP] x"
 
 
+def plain_terms(texts, disclosure=0.9):
+    """{text: words that give away an entity of it}, counted in plain loops over the different texts."""
+    import math
+
+    texts, about = sorted(set(texts)), {}
+    for t in texts:
+        spans, outside, entities = base(t), list(t), set()
+        for kind, start, stop in spans:
+            outside[start:stop] = " " * (stop - start)
+            value, digits = t[start:stop].lower(), re.sub("[^0-9]", "", t[start:stop])
+            part = {"email": value.split("@")[-1], "ip": ".".join(value.split(".")[:3]), "card": digits[:6], "phone": digits[:-4]}[kind]
+            entities |= {(kind, digits if kind in ("card", "phone") else value), (kind, "part", part)}
+        about[t] = ({w.lower() for w in re.findall(r"[^\W_]+", "".join(outside))}, entities)
+    df_t, df_e, both = defaultdict(int), defaultdict(int), defaultdict(int)
+    for words, entities in about.values():
+        for w in words:
+            df_t[w] += 1
+        for e in entities:
+            df_e[e] += 1
+            for w in words:
+                both[w, e] += 1
+    n, out = len(texts) - 1, {}
+    for t, (words, entities) in about.items():
+        told = lambda w, e: both[w, e] > 1 and math.log2(n / (df_e[e] - 1)) > 0 and math.log2(n * (both[w, e] - 1) / ((df_t[w] - 1) * (df_e[e] - 1))) >= disclosure * math.log2(n / (df_e[e] - 1))
+        out[t] = {w for w in words for e in entities if told(w, e)}
+    return out
+
+
+def test_terms_against_counting(spark):
+    rng = np.random.default_rng(21)
+    pick = lambda *x: x[rng.integers(0, len(x))]
+    common = ["the", "of", "and", "report", "about", "today", "meeting", "plan", "notes", "zürich"]
+    rows = []
+    for i in range(160):
+        who = int(rng.integers(0, 12))
+        own = f"clan{who}" if rng.random() < 0.8 else "someone"
+        private = {0: f"user{who}@house{who % 4}.org", 1: f"10.0.{who}.7", 2: f"+49 30 1234{who:02d}56", 3: ""}[i % 4]
+        rows.append((i, " ".join([*(pick(*common) for _ in range(6)), own if private else pick(*common), private, f"project{who % 3}"])))
+    rows += rows[:20]
+    got = pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want, by_id = plain_terms([t for _, t in rows]), dict(rows)
+    assert len(got) == 180 and sum(map(bool, want.values())) > 20
+    for r in got:
+        terms = [s for s in r.spans if s["kind"] == "term"]
+        assert {s["value"].lower() for s in terms} == want[by_id[r.doc_id]]
+        assert all(by_id[r.doc_id][s["start"] : s["stop"]] == s["value"] for s in r.spans)
+
+
 def test_private_data_of_awkward_rows(spark):
     assert pii.digest_columns(pii.find(clashing(awkward(spark)))).count() == 10
     assert pii.find(empty(spark)).count() == 0
@@ -247,3 +389,69 @@ def test_mined_rules_against_counting(spark):
     assert {(tuple(r["items"]), r.verdict) for r in mined} == {(("a", "b"), "block"), (("a", "c"), "allow"), (("b",), "block"), (("b", "c"), "block")}
     kept = {tuple(r["items"]) for r in urls._minimal(urls.mine(spark.createDataFrame(rows, "tokens array<string>, verdict string"), 0.1, 0.8)).collect()}
     assert ("b",) in kept
+
+
+def plain_tokens(url):
+    """A url's tokens, place by place."""
+    if url is None or "://" not in url:
+        return set()
+    host, path = split_url(url)
+    labels, parts, out = host.split("."), path.split("/"), []
+    if host:
+        out += [(f"host{k}", ".".join(labels[-k:])) for k in range(1, len(labels) + 1)] + [("label", labels[0])]
+    out += [(f"dir{k}", x) for k, x in enumerate(parts[:-1])]
+    ext = re.search(r"\.([A-Za-z0-9]{1,8})$", parts[-1])
+    out += [("ext", ext[1])] if ext else []
+    out += [("word", x) for x in re.split(r"[\W_]+", re.sub(r"\.[A-Za-z0-9]{1,8}$", "", parts[-1]))]
+    out += [("fragment", "yes")] if host and "#" in url else []
+    scheme = re.match("([A-Za-z]+)://", url)
+    out += [("scheme", scheme[1])] if scheme else []
+    m = re.match(r"(?s)[^#]*?\?([^#]*)", url)
+    for x in m[1].split("&") if m else []:
+        out += [("query", x.split("=")[0])] + ([("value", x)] if "=" in x else [])
+    return {f"{k}={re.sub('[0-9]+', '#', x)}" for k, x in out if x}
+
+
+LONG_URL = "https://a.b.c.d.e.example.org/" + "/".join(f"x{chr(97 + k)}" for k in range(12)) + "/one-two_three.html?" + "&".join(f"k{chr(97 + k)}=v{k}" for k in range(14)) + "#top"
+
+
+def test_all_parts_of_a_url_are_tokens_and_are_mined(spark):
+    every = [*URLS, LONG_URL, "http://h.org/a/b/c/d/e.php?x=1&y=&z", "ftp://x.org/2020/11/some-words.tar?a=b?c#d?e"]
+    df = spark.createDataFrame([(u,) for u in every], "url string")
+    df = df.withColumn("tokens", urls.tokens(F.col("url"), urls.host(F.col("url")), urls.path(F.col("url")))).withColumn("baskets", urls.baskets(F.col("tokens")))
+    for r in df.collect():
+        assert set(r.tokens) == plain_tokens(r.url) and len(set(r.tokens)) == len(r.tokens)
+        assert {t for b in r.baskets for t in b} == set(r.tokens) and all(len(b) <= urls.BASKET for b in r.baskets)
+
+
+def test_verdicts_of_unruled_urls_against_brute_force(spark):
+    """Rules counted and ranked in plain loops; what gives a url away stands deep in its path and query."""
+    rng = np.random.default_rng(6)
+    pick = lambda *x: x[rng.integers(0, len(x))]
+    labelled, rest = [], []
+    for _ in range(120):
+        ad = rng.random() < 0.5
+        tail = f"{pick('a', 'b')}/{pick('c', 'd')}/{pick('e', 'f')}/{pick('g', 'h')}/{pick('i', 'j')}/{'promo' if ad else 'story'}/p?u=1&v=2&w=3&ref={'banner' if ad and rng.random() < 0.9 else 'home'}"
+        labelled.append(f"http://s{pick('x', 'y')}.{'net/fr' if ad else 'com'}/{tail}")
+        rest.append(f"http://s{pick('x', 'y')}.org/{tail}")
+    df = spark.createDataFrame(list(enumerate(labelled + rest)), "page_id long, url string")
+    sets = []
+    for u in labelled:
+        verdict = fixed(*split_url(u))[1]
+        sets.append((plain_tokens(u), verdict))
+    rows = spark.createDataFrame([(sorted(t), v) for t, v in sets], "tokens array<string>, verdict string")
+    mined = urls.mine(rows, 0.1, 0.8).collect()
+    for r in mined:
+        hit = [v for t, v in sets if set(r["items"]) <= t]
+        assert abs(r.confidence - hit.count(r.verdict) / len(hit)) < 1e-9 and r.confidence >= 0.8
+        assert abs(r.support - hit.count(r.verdict) / len(sets)) < 1e-9 and r.support >= 0.1
+    singles = {next(iter(r["items"])) for r in mined if r["size"] == 1}
+    counted = {x for t, _ in sets for x in t if any(sum(x in s and w == v for s, w in sets) >= max(12, 0.8 * sum(x in s for s, _ in sets)) for v in ("allow", "block"))}
+    assert singles == counted  # no token is left out
+    got = {r.page_id: r.verdict for r in urls.judge(df, min_support=0.1).collect()}
+    tokens = urls.tokens(F.col("url"), urls.host(F.col("url")), urls.path(F.col("url")))
+    order = {r.url: r.tokens for r in df.select("url", tokens.alias("tokens")).collect()}
+    again = urls._minimal(urls.mine(spark.createDataFrame([(order[u], fixed(*split_url(u))[1]) for u in labelled], "tokens array<string>, verdict string"), 0.1, 0.8)).collect()
+    for k, u in enumerate(rest):
+        fits = [(r.confidence, r.support, -r["size"], r.verdict == "block", r.rule_id, r.verdict) for r in again if set(r["items"]) <= plain_tokens(u)]
+        assert got[len(labelled) + k] == (max(fits)[-1] if fits else "allow")
