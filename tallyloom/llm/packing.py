@@ -382,5 +382,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, nearly_full: int = NEARLY_FU
     bins = done[0]
     for some in done[1:]:
         bins = bins.unionByName(some)
-    bins = bins.select(F.monotonically_increasing_id().alias("sequence_id"), F.explode("parts").alias("p"))
+    # First a number for each bin, then its parts: in one step the numbers would be the parts'.
+    bins = bins.select("parts", F.monotonically_increasing_id().alias("sequence_id"))
+    bins = bins.select("sequence_id", F.explode("parts").alias("p"))
     return bins.select("p.doc_id", "p.piece", "p.start", "p.length", "p.ids_crc32", "sequence_id", "p.offset")

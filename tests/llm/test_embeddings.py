@@ -43,7 +43,7 @@ def test_against_all_pairs_over_many_cells_and_blocks(spark):
         v = centre[i % 40] + rng.standard_normal(16) * (0.02 if i % 3 else 0.4)
         rows.append((i, [float(x) for x in v], int(i % 40 % 3)))
     rows += [(1000 + k, rows[0][1], 0) for k in range(150)]  # one hot vector
-    check(spark, rows, cell_rows=60, block=32, margin=8.0)
+    check(spark, rows, cell_rows=12, block=32)
 
 
 def test_differences_along_the_line_between_centroids(spark):
@@ -57,6 +57,32 @@ def test_differences_along_the_line_between_centroids(spark):
     check(spark, rows, cell_rows=24)
 
 
+def test_no_pair_is_missed_by_any_number_of_cells():
+    """Vectors along arcs, spread by dimension and in clusters: linked ones meet in a cell that one of them is at home in."""
+    rng = np.random.default_rng(12)
+    turn = np.linspace(0, 3, 1500)
+    arc = np.zeros((1500, 64))
+    arc[:, 0], arc[:, 1] = np.cos(turn), np.sin(turn)
+    uneven = rng.standard_normal((1500, 64)) / np.arange(1, 65)
+    clustered = rng.standard_normal((30, 64))[rng.integers(0, 30, 1500)] + 0.3 * rng.standard_normal((1500, 64))
+    for x in (arc, uneven, clustered):
+        x = x / np.linalg.norm(x, axis=1, keepdims=True)
+        a, b = np.nonzero(np.triu(x @ x.T >= embeddings.THRESHOLD, 1))
+        assert len(a) > 500
+        for cells in (4, 16, 64, 256):
+            home, visits = embeddings.cells_of(x, embeddings.kmeans(x, cells), embeddings.THRESHOLD)
+            assert visits[a, home[b]].all() and visits[b, home[a]].all()
+            meet = visits & (np.arange(visits.shape[1])[None, :] >= home[:, None])
+            assert np.where(home[a] <= home[b], meet[a, home[b]], meet[b, home[a]]).all()
+
+
+def test_labels_have_cells_by_their_own_number(spark):
+    """One hot label with many cells beside small ones with one."""
+    rng = np.random.default_rng(9)
+    rows = [(i, [float(x) for x in rng.standard_normal(3)], 0 if i % 4 else i % 9) for i in range(300)]
+    check(spark, rows, cell_rows=20)
+
+
 def test_what_links_with_nothing(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, None, 1), (1, [0.0, 0.0], 1), (2, [1.0, nan], 1), (3, [inf, 1.0], 1), (4, [1.0, None], 1), (5, [1.0, 0.0], None), (6, [1.0, 0.0], 1), (7, [2.0, 0.0], 1), (8, [1.0, 0.0, 0.0], 1), (9, [], 1), (10, [1.0, 0.0], 2), (11, [-1.0, 0.0], 1), (12, [1e-30, 0.0], 1)]

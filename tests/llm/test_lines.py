@@ -48,8 +48,8 @@ def form(line):
     return re.sub(r"\s+", " ", line.lower()).strip()
 
 
-def brute(rows, edits=2):
-    """{(doc, place): kept place} of lines that have a copy or a link, and links by document."""
+def brute(rows, edits=2, kept_by=False):
+    """{doc: (links, places of removed lines)}; with ``kept_by`` also the document that keeps each removed line's class."""
     at = {}
     for i, text in rows:
         for k, line in enumerate((text or "").split("\n")):
@@ -77,8 +77,9 @@ def brute(rows, edits=2):
         for spot in spots:
             linked[spot[0]] = linked.get(spot[0], 0) + degree[f]
             if spot != keeper[root(f)]:
-                removed.setdefault(spot[0], []).append(spot[1])
-    return {i: (linked.get(i, 0), sorted(removed.get(i, []))) for i, _ in rows}
+                removed.setdefault(spot[0], []).append((spot[1], keeper[root(f)][0]))
+    out = {i: (linked.get(i, 0), sorted(removed.get(i, []))) for i, _ in rows}
+    return {i: (n, [p for p, _ in gone], *([[k for _, k in gone]] if kept_by else [])) for i, (n, gone) in out.items()}
 
 
 def test_against_all_pairs(spark, monkeypatch):
@@ -141,8 +142,8 @@ def test_all_pairs_of_short_lines_and_digits(spark):
     rng = random.Random(9)
     pool = ["".join(rng.choice("abc12 ") for _ in range(rng.choice([3, 5, 30]))).strip().ljust(3, "q") for _ in range(12)]
     rows = [(i, "\n".join([edited(rng, rng.choice(pool), rng.choice([0, 1])).ljust(3, "q"), f"Page {i}  of a title"])) for i in range(25)]
-    got = {r.doc_id: (r.n_links, r.removed) for r in lines.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == brute(rows)
+    got = {r.doc_id: (r.n_links, r.removed, r.kept_by) for r in lines.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows, kept_by=True)
 
 
 def test_classes_of_lengths_and_every_edit_number(spark):
