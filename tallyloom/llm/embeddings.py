@@ -2,15 +2,16 @@
 
 1. Equal vectors with equal labels become one class (pre-aggregated, so a vector that a third of all rows hold is one
    row from then on).
-2. Spherical k-means on a bounded sample gives cells; their number grows with the rows.  A class belongs to its nearest
-   cell, and visits each later-numbered cell behind whose border a partner may lie: for unit vectors x and y with
-   cosine at least t, |x - y| <= sqrt(2 - 2 t); y lies beyond the border between cells c and d only if (x.c - x.d) /
-   |c - d| is at most the part of x - y along c - d.  That part is |x - y| at most; by default all of it is allowed for,
-   so no pair is missed however the differences lie (``margin`` allows for that many times |x - y| / sqrt(dimensions)).
-3. Rows of a (label, cell) meet in blocks of ``BLOCK`` rows, each two in just one pair of blocks, so no task ever holds
+2. Spherical k-means on a bounded sample gives sets of 1, 4, 16, .. cells.  A label's classes are only compared with each
+   other, so each label uses the smallest set that leaves ``CELL_ROWS`` of its classes a cell at most, on average.
+3. A class belongs to its nearest cell, and visits each later-numbered cell in which a partner may lie.  All of cell d
+   lies on its side of the border to each other cell e, and x lies asin((x.e - x.d) / |e - d|) beyond that border; a
+   vector with cosine t or more is at most acos(t) away.  So x need not visit d if for some e that is more than
+   sin(acos(t)); the ``NEAREST`` cells of x are tried as e.  No pair is missed, however the vectors lie.
+4. Rows of a (label, cell) meet in blocks of ``BLOCK`` rows, each two in just one pair of blocks, so no task ever holds
    more than two blocks however many rows a cell has.  A block pair gives, per row, how many vectors it links to, and
    the edges of a spanning forest: as many rows as it got at most.
-4. Components of those edges give the groups.
+5. Components of those edges give the groups.
 
 Defined results: vectors that are null, empty, zero, or hold a null or a non-finite component, and rows whose label is
 null, link with nothing and are their own component; vectors of different lengths never link; rows that share a vec_id
@@ -30,11 +31,11 @@ from pyspark.sql import functions as F
 from .common import Scratch, Union, block_pairs, components, map_groups
 
 THRESHOLD = 0.93
-CELL_ROWS = 2048  #: classes a cell, on average
-MOST_CELLS = 1024
-SAMPLE_ROWS = 16_384  #: classes that the cells are fitted on
+CELL_ROWS = 2048  #: classes a cell, on average, at most (beyond MOST_CELLS cells there are more)
+MOST_CELLS = 4096
+SAMPLE_ROWS = 32_768  #: classes that the cells are fitted on
 ROUNDS = 8
-MARGIN = float("inf")  #: the certain bound
+NEAREST = 4
 BLOCK = 2048
 
 
@@ -45,8 +46,10 @@ def kmeans(x: np.ndarray, cells: int, rounds: int = ROUNDS, seed: int = 3) -> np
     for _ in range(rounds):
         sims = x @ c.T
         near, best = sims.argmax(axis=1), sims.max(axis=1)
+        order = np.argsort(near, kind="stable")
+        first = np.flatnonzero(np.diff(near[order], prepend=-1))
         sums = np.zeros_like(c)
-        np.add.at(sums, near, x)
+        sums[near[order][first]] = np.add.reduceat(x[order], first, axis=0)
         lost = np.flatnonzero(np.bincount(near, minlength=len(c)) == 0)
         if len(lost):
             sums[lost] = x[np.argsort(best, kind="stable")[: len(lost)]]
@@ -70,26 +73,46 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _visits(classes: DataFrame, centroids: dict[int, np.ndarray], threshold: float, margin: float) -> DataFrame:
+def levels(most: int = MOST_CELLS) -> list[int]:
+    """The sizes of the sets of cells."""
+    out = [1]
+    while out[-1] * 4 <= most:
+        out.append(out[-1] * 4)
+    return out
+
+
+def cells_of(x: np.ndarray, c: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """(home, visits) of unit vectors: the nearest cell, and whether a partner at home in each cell is possible."""
+    sims = x @ c.T
+    home = sims.argmax(axis=1)
+    visits = np.ones(sims.shape, bool)
+    if threshold > 0 and len(c) > 1:
+        gaps = np.sqrt(np.maximum(1e-18, 2 - 2 * (c @ c.T)))  # between unit vectors
+        np.fill_diagonal(gaps, 1)
+        near = np.argpartition(-sims, min(NEAREST, len(c)) - 1, axis=1)[:, :NEAREST]
+        for k in range(near.shape[1]):
+            e = near[:, k]
+            visits &= (sims[np.arange(len(x)), e][:, None] - sims) / gaps[e] <= np.sqrt(1 - threshold**2) + 1e-9
+    visits[np.arange(len(x)), home] = True
+    return home, visits
+
+
+def _visits(classes: DataFrame, centroids: dict[int, list[np.ndarray]], threshold: float) -> DataFrame:
     """(label, dims, cell, home, rep, n, embedding): a row for each cell that a class belongs to or visits."""
-    reach = np.sqrt(2 - 2 * threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             t = pa.Table.from_batches([batch])
-            for dims in np.unique(t.column("dims").to_numpy()).tolist():
-                some = t.filter(pa.compute.equal(t.column("dims"), dims)).combine_chunks()
-                c = centroids[dims]
-                gaps = np.linalg.norm(c[:, None, :] - c[None, :, :], axis=2)
-                allowed = reach * min(1.0, margin / np.sqrt(dims))
-                for at in range(0, len(some), 2048):
-                    part = some.slice(at, 2048)
-                    sims = _unit(_matrix(part.column("embedding"), dims)) @ c.T
-                    home = sims.argmax(axis=1)
-                    lead = sims[np.arange(len(home)), home][:, None] - sims
-                    visits = (lead <= allowed * gaps[home] + 1e-9) & (np.arange(len(c))[None, :] >= home[:, None])
-                    visits[np.arange(len(home)), home] = True
-                    row, cell = np.nonzero(visits)
+            key = t.column("dims").to_numpy().astype(np.int64) * 64 + t.column("level").to_numpy()
+            for one in np.unique(key).tolist():
+                dims, level = divmod(one, 64)
+                some = t.filter(pa.array(key == one)).combine_chunks()
+                c = centroids[dims][level]
+                step = max(64, (1 << 21) // len(c))
+                for at in range(0, len(some), step):
+                    part = some.slice(at, step)
+                    home, visits = cells_of(_unit(_matrix(part.column("embedding"), dims)), c, threshold)
+                    row, cell = np.nonzero(visits & (np.arange(len(c))[None, :] >= home[:, None]))
                     for lo in range(0, len(row), 20_000):
                         r, k = row[lo : lo + 20_000], cell[lo : lo + 20_000]
                         got = part.take(pa.array(r))
@@ -98,7 +121,7 @@ def _visits(classes: DataFrame, centroids: dict[int, np.ndarray], threshold: flo
                             names=["label", "dims", "rep", "n", "embedding", "cell", "home"],
                         )
 
-    return classes.select("label", "dims", "rep", "n", "embedding").mapInArrow(run, f"label {dict(classes.dtypes)['label']}, dims int, rep long, n long, embedding array<double>, cell int, home boolean")
+    return classes.select("label", "dims", "level", "rep", "n", "embedding").mapInArrow(run, f"label {dict(classes.dtypes)['label']}, dims int, rep long, n long, embedding array<double>, cell int, home boolean")
 
 
 def _compare(threshold: float):
@@ -129,7 +152,7 @@ def _compare(threshold: float):
     return pair
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, cell_rows: int = CELL_ROWS, margin: float = MARGIN, block: int = BLOCK) -> DataFrame:
+def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, cell_rows: int = CELL_ROWS, block: int = BLOCK) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each row of ``vectors`` (vec_id, embedding, label)."""
     scratch = Scratch(vectors.sparkSession)
     e = F.col("embedding")
@@ -137,16 +160,22 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, cell_rows:
     usable = F.coalesce(F.col("label").isNotNull() & (F.size(e) > 0) & ~odd & F.exists(e, lambda v: v != 0), F.lit(False))
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "label", e.cast("array<double>").alias("embedding"), usable.alias("usable"))
     digest = F.sha2(F.concat_ws(",", F.col("label").cast("string"), F.col("embedding").cast("array<string>")), 256)
-    rows = scratch.cut(rows.withColumn("digest", F.when(F.col("usable"), digest)), "rows")
+    rows = scratch.cut(rows.withColumn("digest", F.when(F.col("usable"), digest)), "rows", hashes=True)
     usable_rows = rows.where("usable")
     classes = usable_rows.groupBy("digest").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.first("label").alias("label"), F.first("embedding").alias("embedding"))
-    classes = scratch.cut(classes.where("rep is not null").withColumn("dims", F.size("embedding")), "classes")
-    per = {r["dims"]: r["n"] for r in classes.groupBy("dims").agg(F.count("*").alias("n")).collect()}  # one row a vector length
-    centroids = {}
-    for dims, n in per.items():
-        sample = classes.where(F.col("dims") == dims).select("embedding", "digest").orderBy("digest").limit(SAMPLE_ROWS).select("embedding").toArrow()
-        centroids[dims] = kmeans(_unit(_matrix(sample.column("embedding"), dims)), min(MOST_CELLS, max(1, -(-n // cell_rows))))
-    visits = scratch.cut(_visits(classes, centroids, threshold, margin), "visits")
+    classes = scratch.cut(classes.where("rep is not null").withColumn("dims", F.size("embedding")), "classes", hashes=True)
+    sizes = levels()
+    level = F.lit(len(sizes) - 1)
+    for k in range(len(sizes) - 2, -1, -1):
+        level = F.when(F.col("m") <= sizes[k] * cell_rows, k).otherwise(level)
+    by_label = scratch.cut(classes.groupBy("label", "dims").agg(F.count("*").alias("m")).select("label", "dims", level.alias("level")), "labels")
+    centroids: dict[int, list[np.ndarray]] = {}
+    for r in by_label.groupBy("dims").agg(F.max("level").alias("level")).collect():  # one row a vector length
+        dims = r["dims"]
+        sample = classes.where(F.col("dims") == dims).select("embedding", "digest").orderBy("digest").limit(SAMPLE_ROWS if r["level"] else 1).select("embedding").toArrow()
+        x = _unit(_matrix(sample.column("embedding"), dims))
+        centroids[dims] = [kmeans(x, n) for n in sizes[: r["level"] + 1]]
+    visits = scratch.cut(_visits(classes.join(by_label, ["label", "dims"]), centroids, threshold), "visits", hashes=True)
     by = ["label", "dims", "cell"]
     counts = visits.groupBy(*by).agg(F.count("*").alias("m"))
     visits = visits.join(counts, by)
@@ -159,7 +188,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, cell_rows:
         .select("digest", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id")),
         "found",
     )
-    scratch.drop("classes", "visits", "met", "components")
+    scratch.drop("classes", "labels", "visits", "met", "components")
     out = rows.select("vec_id", "digest").join(found, "digest", "left")
     component = F.coalesce("component_id", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))
