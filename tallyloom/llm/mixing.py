@@ -10,7 +10,8 @@ rest is full, the last one in part.  That cut is found in two steps that never o
 the one bucket that holds the cut.
 
 Defined results: a null or blank text has size 0 and takes 0; a null source is a source (last in order); an empty table
-gives an empty table; rows with the same doc_id and text share a hash, the order among them is by text; other columns are ignored.
+gives an empty table; rows that share a doc_id share a hash, the order among them is by size; a very long text counts
+whole; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -91,14 +92,14 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share_percent: int
 def repeat(docs: DataFrame, **weights) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it; a repetition in part is the text's first words.
 
-    Rows that share doc_id and source share what the mix takes (the most of them).  Documents without words go.
+    Rows that share doc_id, source and size share what the mix takes of them evenly.  Documents without words go.
     """
     scratch = Scratch(docs.sparkSession)
-    taken = mix(docs, **weights).where("taken > 0").groupBy("doc_id", "source").agg(F.max("taken").alias("__taken"))
-    taken = scratch.cut(taken.withColumnRenamed("doc_id", "__id").withColumnRenamed("source", "__source"), "taken")
+    taken = mix(docs, **weights).where("size > 0").groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__of"))
+    taken = scratch.cut(taken.agg(F.ceil(F.sum("taken") / F.count("*")).alias("__taken")).where("__taken > 0"), "taken")
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    rows = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source")))
-    rows = rows.withColumn("__size", size).where("__size > 0")
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source")) & (F.col("__size") == F.col("__of"))
+    rows = docs.withColumn("__size", size).join(taken, same)
     # How many words each repetition takes: the whole size, and in the last one what is left.
     times = F.transform(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("__taken") / F.col("__size"))), lambda k: F.least(F.col("__size"), F.col("__taken") - (k - 1) * F.col("__size")))
     rows = rows.withColumn("__words", F.explode(times))
