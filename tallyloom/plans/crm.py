@@ -29,7 +29,17 @@ def companies_in_region(d):
 
 @lens
 def property_manifest(d):
-    return "SELECT event_type AS object, count(*) AS n, count(DISTINCT user_id) AS owners, min(value) AS low, max(value) AS high FROM events GROUP BY event_type"
+    """The registry's properties by object: kind, whether it is a custom one, how often it is filled; and what it has not registered."""
+    return f"""WITH reg AS (SELECT 'click' AS object, 'k' AS property, 'number' AS kind, false AS is_custom UNION ALL SELECT 'purchase', 'k', 'number', true UNION ALL SELECT 'purchase', 'gone', 'text', true),
+seen AS (SELECT event_type AS object, 'k' AS property, count({d.json_text('props', 'k')}) AS filled, count(DISTINCT user_id) AS owners FROM events GROUP BY event_type)
+SELECT coalesce(s.object, r.object) AS object, coalesce(s.property, r.property) AS property, r.kind, coalesce(r.is_custom, false) AS is_custom, coalesce(s.filled, 0) AS filled, coalesce(s.owners, 0) AS owners, r.object IS NULL AS unregistered FROM seen s FULL OUTER JOIN reg r ON s.object = r.object AND s.property = r.property"""
+
+
+@lens
+def companies_history(d):
+    """All revisions of the companies of some nations, closed ones too, each with the time that it held."""
+    return """WITH h AS (SELECT user_id AS company, event_type AS field, value, ts AS valid_from, event_id, lead(ts) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS valid_to FROM events)
+SELECT h.event_id, h.company, c_name AS name, h.field, h.value, h.valid_to IS NULL AS is_current FROM h JOIN customer ON c_custkey = h.company WHERE c_nationkey % 2 = 0 AND (h.valid_to IS NULL OR h.valid_to > h.valid_from)"""
 
 
 @lens
@@ -75,9 +85,10 @@ def contacts_by_company(d):
 
 @lens
 def ticket_chain(d):
-    """Ticket to contact to identity link to company, with a disjunctive condition on the link."""
-    return """WITH t AS (SELECT DISTINCT conv_id FROM conversations), link AS (SELECT s_suppkey AS left_id, s_suppkey % 50 AS right_id, CASE WHEN s_suppkey % 4 = 0 THEN 0.5 ELSE 1.0 END AS confidence, CASE WHEN s_suppkey % 8 = 0 THEN 'operator:x' ELSE 'email' END AS method FROM supplier)
-SELECT t.conv_id AS ticket, l.left_id AS contact, c.c_custkey AS company FROM t JOIN link l ON t.conv_id % 97 = l.left_id AND (l.confidence >= 0.9 OR l.method LIKE 'operator:%') JOIN customer c ON c.c_custkey = l.right_id"""
+    """Ticket to contact by a key in its JSON, to identity link to company, with a disjunctive condition on the link; companies of matching deals only."""
+    return f"""WITH t AS (SELECT event_id AS ticket, CAST({d.json_text('props', 'k')} AS BIGINT) AS requester FROM events WHERE event_type = 'error'), link AS (SELECT s_suppkey AS left_id, s_suppkey % 50 AS right_id, CASE WHEN s_suppkey % 4 = 0 THEN 0.5 ELSE 1.0 END AS confidence, CASE WHEN s_suppkey % 8 = 0 THEN 'operator:x' ELSE 'email' END AS method FROM supplier)
+SELECT t.ticket, l.left_id AS contact, c.c_custkey AS company FROM t JOIN link l ON t.requester = l.left_id AND (l.confidence >= 0.9 OR l.method LIKE 'operator:%') JOIN customer c ON c.c_custkey = l.right_id
+WHERE c.c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderpriority LIKE '1-%')"""
 
 
 @lens

@@ -125,15 +125,6 @@ def review_state(d):
     return f"""WITH {_signals(d)}, r AS (SELECT brand, signal, strength, row_number() OVER (PARTITION BY brand ORDER BY ts DESC, event_id DESC) AS rn FROM sig) SELECT brand, signal AS last_signal, strength FROM r WHERE rn = 1"""
 
 
-@lens
-def signal_harvest(d):
-    """Several detectors, stacked, each pair kept once: an insert-ignore of derived signals."""
-    return """WITH all_signals AS (SELECT o_custkey AS brand, 'large_invoice' AS signal FROM orders WHERE o_totalprice > 300000 UNION ALL SELECT o_custkey, 'urgent' FROM orders WHERE o_orderpriority = '1-URGENT'
-  UNION ALL SELECT c_custkey, 'overdrawn' FROM customer WHERE c_acctbal < 0 UNION ALL SELECT user_id, 'buyer' FROM events WHERE event_type = 'purchase' AND value > 90),
-known AS (SELECT DISTINCT o_custkey AS brand, 'urgent' AS signal FROM orders WHERE o_orderstatus = 'P')
-SELECT DISTINCT a.brand, a.signal FROM all_signals a WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.brand = a.brand AND k.signal = a.signal)"""
-
-
 @lens
 def verdict_rollup(d):
     return f"WITH {_verdict(d)} SELECT verdict, tier, count(*) AS brands, sum(n) AS signals FROM verdict GROUP BY verdict, tier"
@@ -166,3 +157,11 @@ def supersede_chain(d):
 @lens
 def added_current(d):
     return "WITH s AS (SELECT event_id, user_id AS subject, event_type AS field, value, lead(event_id) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS later FROM events) SELECT event_id, subject, field, value FROM s WHERE later IS NULL"
+
+
+@lens
+def check_queue(d):
+    """What is to be checked, and why first: contended brands, then those that only research speaks for, with their largest invoice."""
+    return f"""WITH {_verdict(d)}, c AS (SELECT brand, count(*) FILTER (WHERE points_to = 'yes' AND rank >= 5) AS yes, count(*) FILTER (WHERE points_to = 'no' AND rank >= 5) AS no FROM sig GROUP BY brand),
+q AS (SELECT v.brand, CASE WHEN c.yes > 0 AND c.no > 0 THEN 1 WHEN v.tier = 'research' THEN 2 ELSE 3 END AS step, c.yes, c.no, v.tier FROM verdict v LEFT JOIN c ON v.brand = c.brand WHERE v.tier <> 'human')
+SELECT brand, step, CASE step WHEN 1 THEN 'contended' WHEN 2 THEN 'research only' ELSE 'machine verdict' END AS reason, coalesce((SELECT max(o_totalprice) FROM orders WHERE o_custkey = brand), 0) AS largest FROM q"""

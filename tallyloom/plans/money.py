@@ -196,8 +196,10 @@ SELECT i.invoice, i.brand, i.products, {money('i.total')} AS total, b.line_no AS
 
 @lens
 def days_to_pay(d):
-    return f"""WITH {LINES}, p AS (SELECT invoice, brand, min(invoice_day) AS billed_on, max(day) AS paid_on FROM line WHERE status = 'paid' GROUP BY invoice, brand)
-SELECT brand, count(*) AS invoices, sum({d.days('paid_on', 'billed_on')}) AS total_days, max({d.days('paid_on', 'billed_on')}) AS worst FROM p GROUP BY brand"""
+    """Each payment (a brand's of a month) lists the invoices that it pays; the list as rows, and the days since each was billed."""
+    return f"""WITH {LINES}, billed AS (SELECT invoice, min(invoice_day) AS billed_on FROM line GROUP BY invoice), pay AS (SELECT brand, month, max(day) AS paid_on, {d.joined('CAST(invoice AS STRING)')} AS invoices FROM line WHERE status = 'paid' GROUP BY brand, month),
+each AS (SELECT brand, paid_on, {d.each_part('invoices', ', ')} AS part FROM pay), x AS (SELECT brand, paid_on, billed_on FROM each JOIN billed ON CAST(trim(part) AS BIGINT) = invoice)
+SELECT brand, count(*) AS invoices, sum({d.days('paid_on', 'billed_on')}) AS total_days, max({d.days('paid_on', 'billed_on')}) AS worst FROM x GROUP BY brand"""
 
 
 STATUS = """active AS (SELECT brand, month, sum(amount) AS collected FROM line WHERE is_base AND status = 'paid' GROUP BY brand, month),
@@ -349,6 +351,16 @@ def claim_by_company(d):
 SELECT company, count(*) AS brands, {money('sum(owed)')} AS owed, {money('sum(claim)')} AS claim FROM claim JOIN canon USING (brand) GROUP BY company"""
 
 
+@lens
+def claim_reconciliation(d):
+    """A company's claims against what it acknowledges, with a status for each outcome."""
+    return f"""WITH {_ledger(d)}, {PAID}, {CLAIM}, canon AS (SELECT c_custkey AS brand, coalesce(CASE WHEN c_custkey % 10 < 3 THEN CAST(c_nationkey AS BIGINT) END, 1000000 + c_custkey) AS company FROM customer),
+ours AS (SELECT company, count(*) AS brands, sum(owed) AS owed, sum(claim) AS claim FROM claim JOIN canon USING (brand) GROUP BY company),
+theirs AS (SELECT company, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS stated FROM orders JOIN canon ON o_custkey = brand WHERE o_orderstatus = 'F' GROUP BY company)
+SELECT coalesce(o.company, t.company) AS company, o.brands, {money('o.claim')} AS claim, {money('t.stated')} AS stated, CASE WHEN o.company IS NULL THEN 'stated_only' WHEN o.claim <= 0.005 THEN 'settled' WHEN t.company IS NULL THEN 'unanswered'
+       WHEN abs(o.claim - t.stated) <= greatest(50, o.claim * 0.01) THEN 'agreed' WHEN t.stated < o.claim THEN 'short' ELSE 'over' END AS status FROM ours o FULL OUTER JOIN theirs t ON o.company = t.company"""
+
+
 @lens
 def canonical_election(d):
     """Of the brands of a nation and segment, the one with the most money stands for all; ties go to the smaller id."""

@@ -7,12 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import session
-from . import crm, evidence, jobs, ledger, money, steps, trust
+from . import crm, evidence, harvest, jobs, ledger, money, steps, trust
 from .dialect import DUCK, SPARK
 
 FAMILIES = (money, evidence, trust, crm)
 #: Modules of DataFrame queries with separately written SQL.
-STEPS = (steps, jobs, ledger)
+STEPS = (steps, jobs, ledger, harvest)
 
 
 def _query(make: Callable) -> Callable[[SparkSession, str], DataFrame]:
