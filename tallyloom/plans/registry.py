@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import session
-from . import crm, evidence, harvest, jobs, ledger, money, steps, trust
+from . import crm, evidence, harvest, jobs, ledger, money, oracles, steps, trust
 from .dialect import DUCK, SPARK
 
 FAMILIES = (money, evidence, trust, crm)
@@ -41,5 +41,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    lenses = {f"q_{name}": make(DUCK) for family in FAMILIES for name, make in family.LENSES.items()}
+    lenses = {f"q_{name}": oracles.SQL.get(name) or make(DUCK) for family in FAMILIES for name, make in family.LENSES.items()}
     return lenses | {f"q_{name}": sql for module in STEPS for name, sql in module.SQL.items()}
