@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import session
-from . import crm, evidence, harvest, jobs, ledger, money, oracles, steps, trust
+from . import crm, evidence, harvest, jobs, ledger, money, oracles, steps, trust, written
 from .dialect import DUCK, SPARK
 
 FAMILIES = (money, evidence, trust, crm)
@@ -20,7 +20,7 @@ def _query(make: Callable) -> Callable[[SparkSession, str], DataFrame]:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         sql = make(SPARK)
         session.views(spark, sf_dir, sql)
-        return spark.sql(sql)
+        return written.run(spark, sql)
 
     query.__name__, query.__doc__ = make.__name__, make.__doc__
     return query
