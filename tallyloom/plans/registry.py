@@ -7,12 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import session
-from . import crm, evidence, harvest, jobs, ledger, money, oracles, steps, trust, written
+from . import crm, evidence, harvest, jobs, kernels, ledger, money, oracles, steps, trust, written
 from .dialect import DUCK, SPARK
 
 FAMILIES = (money, evidence, trust, crm)
 #: Modules of DataFrame queries with separately written SQL.
-STEPS = (steps, jobs, ledger, harvest)
+STEPS = (steps, jobs, ledger, harvest, kernels)
 
 
 def _query(make: Callable) -> Callable[[SparkSession, str], DataFrame]:

@@ -195,3 +195,31 @@ def catalogue(spark: SparkSession, prefix: str = "") -> DataFrame:
     """(name, kind, columns) of the views and tables whose names begin so."""
     rows = [(t.name, t.tableType, [c.name for c in spark.catalog.listColumns(t.name)]) for t in spark.catalog.listTables() if t.name.startswith(prefix)]
     return spark.createDataFrame(rows, "name string, kind string, columns array<string>")
+
+
+def change_feed(events: DataFrame, key: str, at: str, event: str, processed: DataFrame, now, hours: int = 24) -> DataFrame:
+    """Of a feed's events those of the last hours that were not processed, the newest one of each object.
+
+    The feed is read again from before the cursor, for it delivers late and more than once; what was done is known by
+    the events' ids.
+    """
+    fresh = events.where(F.col(at) >= now - F.make_dt_interval(hours=F.lit(hours))).join(processed.select(event), event, "left_anti")
+    newest = fresh.groupBy(key).agg(F.max(F.struct(at, event)).alias("__n"), F.collect_set(event).alias("events"))
+    return newest.select(key, F.col(f"__n.{at}").alias(at), F.array_sort("events").alias("events"))
+
+
+def hydrated(changed: DataFrame, records: DataFrame, key: str) -> DataFrame:
+    """Changed objects with their records as they are now; an object that is no more there is marked as deleted."""
+    return changed.join(records.withColumn("__r", F.lit(True)), key, "left").withColumn("deleted", F.col("__r").isNull()).drop("__r")
+
+
+def after_mark(records: DataFrame, created: str, key: str, mark: tuple) -> DataFrame:
+    """Records past a high-water mark of (created, id): of one instant's records those with greater ids too."""
+    at, last = mark
+    return records.where((F.col(created) > at) | ((F.col(created) == at) & (F.col(key) > last)))
+
+
+def revisions(objects: DataFrame, key: str, history: str) -> DataFrame:
+    """(key, property, value, at) from records that group each property's versions: map<string, array<struct<value, at>>>."""
+    each = objects.select(key, F.explode(history).alias("property", "versions"))
+    return each.select(key, "property", F.explode("versions").alias("v")).select(key, "property", "v.value", "v.at")
