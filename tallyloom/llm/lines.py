@@ -21,6 +21,8 @@ empty) within ``EDITS`` edits of each other are linked:
 
 Linked lines form classes; of each class the first line (by doc_id, nulls last, then place) is kept.
 
+All tables here grow with the documents, so their joins are merge joins at every size, whose hot keys Spark splits.
+
 Defined results: a null text has no lines and stays null; empty lines are never linked or removed, and lines of up to
 EDITS characters only join their copies; rows that share a doc_id share places, so the same line at the same place of both is kept in
 both; other columns stay as they are; an empty table gives an empty table.  Forms are told apart by 128-bit digests.
@@ -282,13 +284,13 @@ def links(scratch: Scratch, docs: DataFrame, lines: DataFrame, edits: int) -> Da
     index = [k for k, (_, s) in enumerate(spots(edits)) if s == 0]
     met = entries.groupBy("key").agg(F.count("*").alias("m"), F.max("home").alias("any_home"), F.max(F.col("spot").isin(index)).alias("any_index"))
     met = scratch.cut(met.where((F.col("m") > 1) & F.col("any_home") & F.col("any_index")).select("key", "m"), "keys", hashes=True)
-    met = scratch.cut(entries.join(met, "key"), "met", hashes=True)
+    met = scratch.cut(entries.join(met.hint("merge"), "key"), "met", hashes=True)
     # The forms of the lines that met another.
     forms = maybe_in(formed(docs).select("form", F.xxhash64("form").alias("line")), "line", met.select("line"))
     texts = forms.withColumn("id", F.unhex(F.md5("form"))).groupBy("line", "id").agg(F.first("form").alias("form"))
     texts = texts.withColumn("n", F.length("form")).withColumn("least", _class(F.col("n"), edits)).withColumn("size", _size(F.col("least"), edits))
     texts = scratch.cut(texts, "texts")
-    met = block_pairs(met, "key", "line", "m", BLOCK).join(texts, "line")
+    met = block_pairs(met, "key", "line", "m", BLOCK).join(texts.hint("merge"), "line")
     # As many tasks as the session has, for the work is in the pairs, not in the bytes by which tasks are merged.
     met = met.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key", "block_i", "block_j")
     groups = met.groupBy("key", "block_i", "block_j").agg(F.collect_list(F.struct("block", "spot", "home", "id", "n", "least", "size", "form")).alias("rows"))
@@ -327,7 +329,7 @@ def judge(docs: DataFrame, edits: int = EDITS) -> tuple[Scratch, DataFrame]:
     known = copies.join(joined, "id", "full").select("id", F.coalesce("keeper", "own").alias("keeper"), F.coalesce("links", F.lit(0)).alias("links"))
     known = scratch.cut(known, "known")
     scratch.drop("lines", "keys", "met", "texts", "links", "components", "in_class")
-    return scratch, spots.select("doc_id", _place().alias("place"), "id").join(known, "id").select("doc_id", "place", "keeper", "links")
+    return scratch, spots.select("doc_id", _place().alias("place"), "id").join(known.hint("merge"), "id").select("doc_id", "place", "keeper", "links")
 
 
 def report(docs: DataFrame, edits: int = EDITS) -> DataFrame:
@@ -338,7 +340,7 @@ def report(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     per = scratch.cut(per.withColumnRenamed("doc_id", "id"), "per")
     scratch.drop("spots", "known")
     out = docs.select("doc_id", F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).cast("long").alias("n_lines"))
-    out = out.join(per, F.col("doc_id").eqNullSafe(F.col("id")), "left")
+    out = out.join(per.hint("merge"), F.col("doc_id").eqNullSafe(F.col("id")), "left")
     gone = F.coalesce("gone", F.array().cast("array<struct<pos:bigint,doc_id:bigint>>"))
     return out.select(
         "doc_id", "n_lines", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.size(gone).cast("long").alias("n_removed"),
@@ -352,7 +354,7 @@ def remove(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     gone = spots.where(F.col("place") != F.col("keeper")).select("doc_id", _decode(F.col("place"))[1].alias("pos"))
     per = scratch.cut(gone.groupBy("doc_id").agg(F.collect_set("pos").alias("__gone")).withColumnRenamed("doc_id", "__id"), "per")
     scratch.drop("spots", "known")
-    joined = docs.join(per, F.col("doc_id").eqNullSafe(F.col("__id")), "left")
+    joined = docs.join(per.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__id")), "left")
     left = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("__gone", i.cast("long"))), "\n")
     touched = F.col("__gone").isNotNull()
     joined = joined.withColumn("text", F.when(touched, left).otherwise(F.col("text"))).where(~touched | (F.length(F.trim("text")) > 0))
