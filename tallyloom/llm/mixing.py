@@ -3,7 +3,7 @@
 All sources together are to fill ``share`` of all words.  A source gets a level times its weight, but no more than
 ``epochs`` times its own size; what the cap cuts off is reshared by weight until no target is above its cap.  That end
 is the water level: with sources ordered by cap / weight, the first k for which (total - caps before k) / (weights from
-k on) is at most k's cap / weight fixes the level.  So it is found in closed form, by one window over one row a source.
+k on) is at most k's cap / weight fixes the level.  So it is found in closed form, by running sums over one row a source.
 
 Whole repetitions take every document; the fractional rest takes documents in the order of a seeded hash until the
 rest is full, the last one in part.  That cut is found in two steps that never order a whole source: sums by bucket of the hash first, then
@@ -16,7 +16,7 @@ whole; other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch
@@ -25,8 +25,8 @@ WEIGHTS = (5, 2, 1)
 SHARE_PERCENT = 150
 EPOCHS = 2
 SEED = "mix-1"
-#: Hex digits of the hash that number the buckets: 4096 sums for a source at most.
-BUCKET_DIGITS = 3
+#: Hex digits of the hash that number the buckets: 65536 sums for a source at most.
+BUCKET_DIGITS = 4
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -37,20 +37,36 @@ def sizes(docs: DataFrame) -> DataFrame:
     )
 
 
+def _running(scratch: Scratch, df: DataFrame, name: str, order: list[Column], sums: dict[str, str]) -> DataFrame:
+    """``df`` with running sums in an order: ``sums`` maps a new column to the one that it adds up, the row's own included.
+
+    Rows are dealt by ranges of the order and written with the number of their range; sums run within ranges, and what
+    ranges before hold is added: one row a range.  So no task sees all rows, however many there are.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = scratch.cut(df.repartitionByRange(parts, *order).withColumn("__part", F.spark_partition_id()), name)
+    inside = Window.partitionBy("__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = dealt.groupBy("__part").agg(*[F.sum(c).alias(f"__{k}") for k, c in sums.items()])
+    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    totals = totals.select("__part", *[F.coalesce(F.sum(f"__{k}").over(earlier), F.lit(0)).alias(f"__{k}") for k in sums])
+    joined = dealt.join(totals, "__part")
+    return joined.withColumns({k: F.sum(c).over(inside) + F.col(f"__{k}") for k, c in sums.items()}).drop("__part", *[f"__{k}" for k in sums])
+
+
 def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share_percent: int = SHARE_PERCENT, epochs: int = EPOCHS) -> DataFrame:
-    """(source, source_size, target) from (source, size): one row a source throughout."""
-    by = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    nth = F.pmod(F.row_number().over(order) - 1, F.lit(len(weights)))
+    """(source, source_size, target) from (source, size): one row a source throughout, and no task with all of them."""
+    scratch = Scratch(sized.sparkSession)
+    by = sized.groupBy("source").agg(F.sum("size").alias("source_size")).withColumn("one", F.lit(1).cast("long"))
+    by = _running(scratch, by, "ranked", [F.col("source").asc_nulls_last()], {"rank": "one"})
+    nth = F.pmod(F.col("rank") - 1, F.lit(len(weights)))
     by = by.withColumn("w", F.element_at(F.array(*map(F.lit, weights)), (nth + 1).cast("int")).cast("long"))
-    cap = (F.col("source_size") * epochs).cast("long")
-    by = by.withColumn("cap", cap).withColumn("total", F.sum("source_size").over(Window.partitionBy()) * F.lit(share_percent) / F.lit(100.0))
-    level = Window.orderBy((F.col("cap") / F.col("w")).asc(), F.col("source").asc_nulls_last())
-    before = F.coalesce(F.sum("cap").over(level.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    rest = F.sum("w").over(level.rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    by = by.withColumn("level", (F.col("total") - before) / rest)
-    ok = F.when(F.col("level") <= F.col("cap") / F.col("w"), F.col("level"))
-    by = by.withColumn("water", F.max(ok).over(Window.partitionBy()))
+    by = by.withColumn("cap", (F.col("source_size") * epochs).cast("long")).withColumn("ratio", F.col("cap") / F.col("w"))
+    by = _running(scratch, by, "levels", [F.col("ratio").asc(), F.col("source").asc_nulls_last()], {"caps": "cap", "ws": "w"})
+    by = scratch.cut(by, "sums")
+    total = by.agg(F.sum("source_size")).scalar() * F.lit(share_percent) / F.lit(100.0)
+    level = (total - (F.col("caps") - F.col("cap"))) / (by.agg(F.sum("w")).scalar() - F.col("ws") + F.col("w"))
+    by = scratch.cut(by.withColumn("level", level), "water")
+    by = by.withColumn("water", by.agg(F.max(F.when(F.col("level") <= F.col("ratio"), F.col("level")))).scalar())
     target = F.when(F.col("water").isNull() | (F.col("water") * F.col("w") > F.col("cap")), F.col("cap").cast("double")).otherwise(F.col("water") * F.col("w"))
     return by.select("source", "source_size", target.cast("double").alias("target"))
 
@@ -60,7 +76,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share_percent: int
 
     ``taken`` is ``whole`` repetitions and the fractional one: all of a document before the cut, the first words of the
     document that holds it, none after it.  Source totals are pre-aggregated, so a hot source costs no more than
-    others; the only documents that meet by source are those of the one bucket that holds the cut (about 1/4096 of a
+    others; the only documents that meet by source are those of the one bucket that holds the cut (about 1/65536 of a
     source).  Sizes are written once, so texts are read once, and the written one-row-a-source table has a known size
     by which Spark decides whether to broadcast it.
     """
