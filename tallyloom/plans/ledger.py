@@ -192,9 +192,15 @@ def _cut(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def invariants(spark: SparkSession, d: str, led: DataFrame) -> DataFrame:
+def written(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """(lines, ledger), each written once."""
+    line = _cut(lines(spark, d), spark, "lines")
+    return line, _cut(ledger(spark, d, line), spark, "ledger")
+
+
+def invariants(spark: SparkSession, d: str, line: DataFrame, led: DataFrame) -> DataFrame:
     """(name, violations) of 22 checks; each counts rows that must not be."""
-    line, verdict, s = lines(spark, d), verdicts(spark, d), signals(spark, d)
+    verdict, s = verdicts(spark, d), signals(spark, d)
     c = read(spark, d, "customer").withColumnRenamed("c_custkey", "brand")
     n = F.count("*").alias("violations")
     person = s.where("by_person").groupBy("brand").agg(F.bool_or(F.col("points") == "yes").alias("said_yes"), F.bool_or(F.col("points") == "no").alias("said_no"))
@@ -269,7 +275,7 @@ UNION ALL SELECT 'rate_is_on_the_ladder', (SELECT count(*) FROM led WHERE rate N
 @query(f"WITH {_INVARIANTS} SELECT name, CAST(violations AS BIGINT) AS violations, CASE WHEN violations = 0 THEN 'ok' ELSE 'fail' END AS status FROM inv22")
 def ledger_invariants(spark, d):
     """All 22 checks over one written ledger."""
-    found = invariants(spark, d, _cut(ledger(spark, d), spark, "ledger"))
+    found = invariants(spark, d, *written(spark, d))
     return found.withColumn("status", F.when(F.col("violations") == 0, "ok").otherwise("fail"))
 
 
@@ -285,18 +291,17 @@ NOW = datetime.date(2024, 1, 31)
 ALLOWED = {"click": 26, "purchase": 26}
 
 
-def gate_rows(spark: SparkSession, d: str, led: DataFrame) -> DataFrame:
+def gate_rows(spark: SparkSession, d: str, line: DataFrame, led: DataFrame) -> DataFrame:
     """(month, gate, kind, signal, found) of each month that the ledger has, from the lenses that each gate is about.
 
     What is the same for all months is one row; what differs is one row a month: one cross join of small aggregates, one
     left join by month, and then the gates as an array of rows.
     """
-    line = lines(spark, d)
     events = read(spark, d, "events").groupBy("event_type").agg(F.max("ts").alias("last"))
     allowed = spark.createDataFrame(list(ALLOWED.items()), "event_type string, hours int")
     age = F.datediff(F.lit(NOW), F.col("last").cast("date")) * 24
     stale = events.join(allowed, "event_type").where(age > F.col("hours")).agg(F.count("*").alias("stale"))
-    failing = invariants(spark, d, led).where("violations > 0").agg(F.count("*").alias("failing"))
+    failing = invariants(spark, d, line, led).where("violations > 0").agg(F.count("*").alias("failing"))
     covered = led.agg(F.count("*").alias("cells"), F.count_if(F.col("partner_rate") > 0).alias("rated"))
     contested = signals(spark, d).where("by_person").groupBy("brand").agg((F.count_distinct("points") > 1).alias("both")).where("both").agg(F.count("*").alias("contested"))
     default = read(spark, d, "customer").where("c_nationkey % 3 = 0").agg(F.count_distinct("c_nationkey").alias("default"))
@@ -330,14 +335,14 @@ signals AS (SELECT month, gate, kind, found, CASE WHEN NOT bad THEN 'passing' WH
 
 @query(f"WITH {_GATES} SELECT month, gate, kind, signal, found FROM signals")
 def gates(spark, d):
-    return gate_rows(spark, d, _cut(ledger(spark, d), spark, "ledger"))
+    return gate_rows(spark, d, *written(spark, d))
 
 
 @query(f"""WITH {_GATES}, p AS (SELECT CAST(CAST(date_trunc('month', o_orderdate) AS DATE) AS VARCHAR) AS month, count(*) AS versions FROM orders GROUP BY 1)
 SELECT s.month, CASE WHEN s.failing > 0 THEN 'blocked' WHEN p.versions > 1 THEN 'restated' WHEN p.versions = 1 THEN 'closed' ELSE 'open' END AS state, s.failing, s.review FROM (SELECT month, count(*) FILTER (WHERE signal = 'failing') AS failing, count(*) FILTER (WHERE signal = 'review') AS review FROM signals GROUP BY month) s LEFT JOIN p ON p.month = s.month""")
 def close_board(spark, d):
     """A month with a failing gate is blocked; else its pinned versions say what it is."""
-    g = gate_rows(spark, d, _cut(ledger(spark, d), spark, "ledger")).groupBy("month").agg(F.count_if(F.col("signal") == "failing").alias("failing"), F.count_if(F.col("signal") == "review").alias("review"))
+    g = gate_rows(spark, d, *written(spark, d)).groupBy("month").agg(F.count_if(F.col("signal") == "failing").alias("failing"), F.count_if(F.col("signal") == "review").alias("review"))
     pins = read(spark, d, "orders").groupBy(F.trunc(F.col("o_orderdate").cast("date"), "MM").cast("string").alias("month")).agg(F.count("*").alias("versions"))
     state = ladder([(F.col("failing") > 0, "blocked"), (F.col("versions") > 1, "restated"), (F.col("versions") == 1, "closed")], "open")
     return g.join(pins, "month", "left").select("month", state.alias("state"), "failing", "review")

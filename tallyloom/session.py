@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import re
 import tempfile
 import uuid
@@ -47,7 +48,16 @@ def shared_folder(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = f"file://{tempfile.mkdtemp(prefix='tallyloom-')}"
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+    path = f"{base}/{name}-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, path)
+    return path
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder at exit, if there is still a JVM to ask."""
+    context = spark.sparkContext
+    if context._jsc is not None and not context._jsc.sc().isStopped():
+        Files(spark, path).remove("")
 
 
 class Files:
@@ -57,7 +67,7 @@ class Files:
         self.root, self._jvm, self._conf = root, spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
 
     def _at(self, name: str):
-        path = self._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        path = self._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
         return path, path.getFileSystem(self._conf)
 
     def exists(self, name: str) -> bool:
