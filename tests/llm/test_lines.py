@@ -48,7 +48,7 @@ def form(line):
     return re.sub(r"\s+", " ", line.lower()).strip()
 
 
-def brute(rows, edits=2, kept_by=False):
+def brute(rows, edits=2, kept_by=False, share=None):
     """{doc: (links, places of removed lines)}; with ``kept_by`` also the document that keeps each removed line's class."""
     at = {}
     for i, text in rows:
@@ -65,7 +65,8 @@ def brute(rows, edits=2, kept_by=False):
     for x in range(len(forms)):
         for y in range(x + 1, len(forms)):
             a, b = forms[x], forms[y]
-            if abs(len(a) - len(b)) <= edits and distance(a, b) <= edits:
+            most = edits if share is None else min(edits, int(min(len(a), len(b)) * share + 1e-9))
+            if abs(len(a) - len(b)) <= most and distance(a, b) <= most:
                 degree[a] += 1
                 degree[b] += 1
                 up[root(a)] = root(b)
@@ -142,8 +143,10 @@ def test_all_pairs_of_short_lines_and_digits(spark):
     rng = random.Random(9)
     pool = ["".join(rng.choice("abc12 ") for _ in range(rng.choice([3, 5, 30]))).strip().ljust(3, "q") for _ in range(12)]
     rows = [(i, "\n".join([edited(rng, rng.choice(pool), rng.choice([0, 1])).ljust(3, "q"), f"Page {i}  of a title"])) for i in range(25)]
-    got = {r.doc_id: (r.n_links, r.removed, r.kept_by) for r in lines.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == brute(rows, kept_by=True)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for share in (None, 0.1, 0.4):
+        got = {r.doc_id: (r.n_links, r.removed, r.kept_by) for r in lines.report(docs, share=share).collect()}
+        assert got == brute(rows, kept_by=True, share=share)
 
 
 def test_classes_of_lengths_and_every_edit_number(spark):

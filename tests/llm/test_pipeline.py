@@ -49,7 +49,7 @@ def predicted(model, text):
 
 
 def without_lines(rows):
-    gone = test_lines.brute([(i, t) for i, t, _ in rows])
+    gone = test_lines.brute([(i, t) for i, t, _ in rows], share=corpus_pipeline.EDITED_SHARE)
     out = []
     for i, text, source in rows:
         left = "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone[i][1])
