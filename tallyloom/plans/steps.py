@@ -231,8 +231,17 @@ def cosine_filtered(spark, d):
     return search.top_k(v, probe, 5, F.col("label").isin(1, 2)).select("vec_id", F.round("score", 6).alias("score"))
 
 
-@query()
+_BLANK = "E' \\n\\t\\r\\f\\x0b'"
+_ENDS = ", ".join(f"CASE WHEN contains(w, {m}) THEN since + 1024 + length(w) - instr(reverse(w), reverse({m})) + 1 END" for m in ("chr(10) || chr(10)", "chr(10)", "'. '", "' '"))
+_NEXT = f"""SELECT doc_id, s, since, CASE WHEN length(s) - since <= 2560 THEN length(s) ELSE coalesce({_ENDS}, least(length(s), since + 2048)) END AS fin FROM (SELECT *, substr(s, since + 1025, least(length(s), since + 2048) - since - 1024) AS w FROM"""
+
+
+@query(f"""WITH RECURSIVE t AS (SELECT doc_id, trim(text, {_BLANK}) AS s FROM documents WHERE length(trim(text, {_BLANK})) > 0),
+c AS ({_NEXT} (SELECT doc_id, s, 0 AS since FROM t) z) y UNION ALL {_NEXT} (SELECT doc_id, s, greatest(fin - 500, since + 1) AS since FROM c WHERE fin < length(s)) z) y),
+p AS (SELECT doc_id, since, trim(substr(s, since + 1, fin - since), {_BLANK}) AS chunk FROM c)
+SELECT doc_id AS source_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY since) - 1 AS INTEGER) AS chunk_index, length(chunk) AS size, sha256(chunk) AS hash FROM p WHERE chunk <> ''""")
 def text_chunks(spark, d):
+    """Windows of each text, which together cover it; ends at paragraphs, lines, sentences or words."""
     docs = read(spark, d, "documents").select(F.col("doc_id").alias("source_id"), "text")
     return search.index_texts(docs).select("source_id", "chunk_index", F.length("chunk").alias("size"), "hash")
 

@@ -47,5 +47,5 @@ def test_query(spark, duck, sf, name):
     assert not [c for c, kind in df.dtypes if kind.startswith("decimal")]
 
 
-def test_all_have_oracles_but_the_chunker():
-    assert set(registry.queries()) - set(registry.oracle_sql()) == {"q_text_chunks"}
+def test_all_have_oracles():
+    assert set(registry.queries()) == set(registry.oracle_sql())
