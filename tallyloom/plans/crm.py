@@ -193,9 +193,13 @@ def acknowledgement(d):
 
 @lens
 def identity_links(d):
-    """Matches on a normal key, graded by how many a left id fans out to; role mailboxes are less sure."""
-    return """WITH l AS (SELECT c_custkey AS left_id, lower(trim(c_name)) AS name, c_custkey % 60 AS k FROM customer), r AS (SELECT s_suppkey AS right_id, s_suppkey % 60 AS k FROM supplier), m AS (SELECT left_id, right_id, l.k, count(*) OVER (PARTITION BY left_id) AS fan FROM l JOIN r ON l.k = r.k WHERE l.k <> 13)
-SELECT left_id, right_id, CASE WHEN fan > 1 THEN 0.5 WHEN k % 10 = 0 THEN 0.9 ELSE 1.0 END + CAST(0 AS DOUBLE) AS confidence FROM m"""
+    """Matches on a normal key (a name's number), graded by how many a left id fans out to; role mailboxes are less sure.
+
+    A supplier in three has an alias under the same key; the output grows with the names, not with their product.
+    """
+    return """WITH l AS (SELECT c_custkey AS left_id, lower(trim(split_part(c_name, '#', 2))) AS k FROM customer), r AS (SELECT s_suppkey AS right_id, lower(trim(split_part(s_name, '#', 2))) AS k FROM supplier UNION ALL SELECT s_suppkey + 1000000, lower(trim(split_part(s_name, '#', 2))) FROM supplier WHERE s_suppkey % 3 = 0),
+m AS (SELECT left_id, right_id, count(*) OVER (PARTITION BY left_id) AS fan FROM l JOIN r ON l.k = r.k WHERE left_id <> 13)
+SELECT left_id, right_id, CASE WHEN fan > 1 THEN 0.5 WHEN left_id % 10 = 0 THEN 0.9 ELSE 1.0 END + CAST(0 AS DOUBLE) AS confidence FROM m"""
 
 
 @lens

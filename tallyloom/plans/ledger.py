@@ -202,47 +202,45 @@ def invariants(spark: SparkSession, d: str, line: DataFrame, led: DataFrame) ->
     """(name, violations) of 22 checks; each counts rows that must not be."""
     verdict, s = verdicts(spark, d), signals(spark, d)
     c = read(spark, d, "customer").withColumnRenamed("c_custkey", "brand")
-    n = F.count("*").alias("violations")
     person = s.where("by_person").groupBy("brand").agg(F.bool_or(F.col("points") == "yes").alias("said_yes"), F.bool_or(F.col("points") == "no").alias("said_no"))
     sign = s.where("signal IN ('click', 'purchase') AND points = 'yes'").select("brand").distinct().withColumn("sign", F.lit(True))
     judged = verdict.join(person, "brand", "left").join(sign, "brand", "left").join(c.select("brand", "c_nationkey", "c_mktsegment"), "brand")
     company = judged.groupBy("c_nationkey", "c_mktsegment").agg(F.max("verdict").alias("best"), F.bool_or(F.coalesce("said_no", F.lit(False))).alias("said_no"))
-    last = judged.groupBy("c_nationkey", "c_mktsegment").agg(F.when(F.bool_or(F.coalesce(F.col("said_no"), F.lit(False))), "no").otherwise(F.max("verdict")).alias("verdict"))
-    money = led.where("collected > 0 OR billed > 0").select("brand").distinct()
-    back = read(spark, d, "events").where("event_type = 'signup' AND value > 100").select(F.col("user_id").alias("brand")).distinct()
-    clock = led.groupBy("brand", "product").agg(F.min("anchor").alias("anchor")).withColumn("stored", F.when(F.col("brand") % 50 == 0, F.date_add("anchor", 365)).otherwise(F.add_months("anchor", 12)))
+    last = company.withColumn("verdict", F.when(F.col("said_no"), "no").otherwise(F.col("best")))
+    money = led.where("collected > 0 OR billed > 0").select("brand").distinct().withColumn("money", F.lit(True))
+    back = read(spark, d, "events").where("event_type = 'signup' AND value > 100").select(F.col("user_id").alias("brand")).distinct().withColumn("back", F.lit(True))
     won = read(spark, d, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("brand")).distinct().withColumn("won", F.lit(True))
-    talk = read(spark, d, "conversations")
-    blank = lambda x: F.coalesce(F.trim(x), F.lit("")) == ""
-    cells = ["brand", "product", "month"]
-    checks = {
-        "verdict_fanout": verdict.agg((F.count("*") - F.count_distinct("brand")).alias("violations")),
-        "orphan_money": line.join(c, "brand", "left_anti").agg(n),
-        "claim_requires_eligibility": led.where("claimable AND NOT coalesce(eligible, false)").agg(n),
-        "reactivation_regression": back.join(c.where("c_acctbal < 0"), "brand").agg(n),
-        "unknown_rate_priced": led.where("rate IS NULL AND fee <> 0").agg(n),
-        "unknown_partner_paid": led.where("partner_rate IS NULL AND partner_fee <> 0").agg(n),
-        "net_negative_on_positive_revenue": led.where("fee - partner_fee < 0 AND collected > 0").agg(n),
-        "anonymous_fact": talk.where(blank(F.col("role")) | blank(F.col("text"))).agg(n),
-        "identity_without_provenance": line.where("brand IS NOT NULL AND source IS NULL").agg(n),
-        "money_on_junk": c.where("c_acctbal < -900").join(money, "brand", "left_semi").agg(n),
-        "stale_flags": c.join(won, "brand", "left").where((F.col("c_acctbal") > 0) != F.coalesce("won", F.lit(False))).agg(n),
-        "yes_needs_an_indicator_or_a_person": judged.where("verdict = 'yes' AND NOT coalesce(said_yes, false) AND NOT coalesce(sign, false)").agg(n),
-        "no_requires_a_person": judged.where("verdict = 'no' AND NOT coalesce(said_no, false)").agg(n),
-        "rollup_is_one_row_a_company": last.agg((F.count("*") - F.count_distinct("c_nationkey", "c_mktsegment")).alias("violations")),
-        "rollup_never_overrules_a_person": company.where("best <> 'no' AND said_no").agg(n),
-        "stored_clock_is_a_month_count": clock.where(F.col("stored") != F.add_months("anchor", 12)).agg(n),
-        "persons_opposed": person.where("said_yes AND said_no").agg(n),
-        "ledger_grain_unique": led.groupBy(*cells).count().where("count > 1").agg(n),
-        "claim_requires_yes": led.where("status = 'claimable' AND NOT verdict <=> 'yes'").agg(n),
-        "fee_only_when_claimable": led.where("NOT claimable AND fee <> 0").agg(n),
-        "rate_is_on_the_ladder": led.where(~F.col("rate").isin(*[p for _, p in LADDER], LAST)).agg(n),
-        "refund_within_gross": refunds(spark, d, line).where("netted > gross AND netted > 0").agg(n),
-    }
-    out = None
-    for name, df in checks.items():
-        one = df.select(F.lit(name).alias("name"), F.col("violations").cast("long").alias("violations"))
-        out = one if out is None else out.unionByName(one)
+    facts = c.join(money, "brand", "left").join(back, "brand", "left").join(won, "brand", "left")
+    clock = led.groupBy("brand", "product").agg(F.min("anchor").alias("anchor")).withColumn("stored", F.when(F.col("brand") % 50 == 0, F.date_add("anchor", 365)).otherwise(F.add_months("anchor", 12)))
+    known = line.join(c.select("brand", F.lit(True).alias("known")), "brand", "left")
+
+    def count(df: DataFrame, **rows: str) -> DataFrame:
+        """One pass for all checks of a relation; each counts the rows for which its condition holds."""
+        counted = df.agg(*[F.coalesce(F.expr(x) if x.startswith("count(") else F.count_if(F.expr(x)), F.lit(0)).cast("long").alias(name) for name, x in rows.items()])
+        pairs = [F.struct(F.lit(name).alias("name"), F.col(name).alias("violations")) for name in rows]
+        return counted.select(F.explode(F.array(*pairs)).alias("c")).select("c.*")
+
+    parts = [
+        count(verdict, verdict_fanout="count(*) - count(DISTINCT brand)"),
+        count(known, orphan_money="known IS NULL", identity_without_provenance="brand IS NOT NULL AND source IS NULL"),
+        count(
+            led, claim_requires_eligibility="claimable AND NOT coalesce(eligible, false)", unknown_rate_priced="rate IS NULL AND fee <> 0", unknown_partner_paid="partner_rate IS NULL AND partner_fee <> 0",
+            net_negative_on_positive_revenue="fee - partner_fee < 0 AND collected > 0", claim_requires_yes="status = 'claimable' AND NOT verdict <=> 'yes'", fee_only_when_claimable="NOT claimable AND fee <> 0",
+            rate_is_on_the_ladder=f"rate NOT IN ({', '.join(str(p) for _, p in LADDER)}, {LAST})",
+        ),
+        count(facts, reactivation_regression="back AND c_acctbal < 0", money_on_junk="money AND c_acctbal < -900", stale_flags="(c_acctbal > 0) <> coalesce(won, false)"),
+        count(read(spark, d, "conversations"), anonymous_fact="coalesce(trim(role), '') = '' OR coalesce(trim(text), '') = ''"),
+        count(judged, yes_needs_an_indicator_or_a_person="verdict = 'yes' AND NOT coalesce(said_yes, false) AND NOT coalesce(sign, false)", no_requires_a_person="verdict = 'no' AND NOT coalesce(said_no, false)"),
+        count(last, rollup_is_one_row_a_company="count(*) - count(DISTINCT c_nationkey, c_mktsegment)"),
+        count(company, rollup_never_overrules_a_person="best <> 'no' AND said_no"),
+        count(clock, stored_clock_is_a_month_count="stored <> add_months(anchor, 12)"),
+        count(person, persons_opposed="said_yes AND said_no"),
+        count(led.groupBy("brand", "product", "month").agg(F.count("*").alias("n")), ledger_grain_unique="n > 1"),
+        count(refunds(spark, d, line), refund_within_gross="netted > gross AND netted > 0"),
+    ]
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more)
     return out
 
 
