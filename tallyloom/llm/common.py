@@ -50,6 +50,22 @@ def _remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
 
 
+#: All scratch tables of this process, in the order in which they were written.
+_MADE: list[str] = []
+
+
+def made() -> int:
+    """How many scratch tables were written so far; for ``sweep``."""
+    return len(_MADE)
+
+
+def sweep(spark: SparkSession, since: int, keep: list[str]) -> None:
+    """Delete the scratch tables that were written after ``made`` gave ``since``, once what was read from them is written itself."""
+    for path in _MADE[since:]:
+        if path not in keep:
+            _remove(spark, path)
+
+
 class Scratch:
     """Written tables that cut lineage; they outlive a lost executor, unlike a local checkpoint."""
 
@@ -64,6 +80,7 @@ class Scratch:
         path = f"{self.root}/{name}-{uuid.uuid4().hex}"
         df.write.option("parquet.enable.dictionary", str(not hashes).lower()).parquet(path)
         self.paths.setdefault(name, []).append(path)
+        _MADE.append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str, keep_last: bool = False) -> None:
@@ -95,6 +112,16 @@ def utf8_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return raw, starts, ends
 
 
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can; Python workers live on between tasks."""
+    import ctypes
+
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
 def map_groups(df: DataFrame, keys: list[str], fn: Callable[[tuple, pa.Table], dict | None], schema: str) -> DataFrame:
     """``fn(key, rows)`` over each group, as a stream over sorted partitions.
 

@@ -15,7 +15,6 @@ columns are ignored.
 from __future__ import annotations
 
 import bisect
-import json
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -25,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, utf8_view
+from .common import Scratch, give_back, utf8_view
 from .ngrams import slices
 
 CAPACITY = 4096
@@ -37,9 +36,9 @@ ROWS_A_PARTITION = 20_000
 #: A round that leaves more than this share of its bins to the next one is not worth repeating.
 STUCK = 0.9
 #: Words whose ids a worker keeps; when there are more, it begins anew.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 200_000
 #: Bytes of text that are cut into words together.
-SLICE = 1 << 22
+SLICE = 1 << 21
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: Stands between words that are encoded together; its ids are looked up.
@@ -106,14 +105,12 @@ class Ids:
     """
 
     def __init__(self, path: str, end_id: int = END_ID):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.model = Tokenizer.from_file(path)
-        with open(path, encoding="utf-8") as f:
-            lean = json.load(f)
-        cuts = lean["pre_tokenizer"]["pretokenizers"][1:]
-        lean |= {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, *cuts]}}
-        self.lean = Tokenizer.from_str(json.dumps(lean))
+        self.lean = Tokenizer.from_file(path)
+        self.lean.normalizer = None
+        self.lean.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.end_id = end_id
         self.bar = self.encode(_BAR)
         self.forget()
@@ -276,6 +273,8 @@ def tokenise(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY,
                     [doc_id.take(pa.array(which)).cast(pa.int64()), *[pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.int64(), pa.int64()))]],
                     names=["doc_id", "piece", "start", "length", "ids_crc32"],
                 )
+        ids.forget()  # a worker that waits for other tasks keeps the tokenizer alone
+        give_back()
 
     return docs.select("doc_id", "text").mapInArrow(run, PIECES)
 
