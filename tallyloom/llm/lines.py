@@ -238,14 +238,20 @@ def _earlier(x: Column, y: Column, spot: Column, probe: Column, edits: int) -> C
     return out
 
 
-def _linked(x: Column, y: Column, edits: int) -> Column:
-    """Whether two entries of a key are a link that counts here."""
+def _linked(x: Column, y: Column, edits: int, share: float | None) -> Column:
+    """Whether two entries of a key are a link that counts here: ``edits`` apart at most, and ``share`` of the shorter line."""
     first_of = F.array(*[F.lit(s == 0) for _, s in spots(edits)])
     index = lambda e: F.element_at(first_of, e["spot"] + 1)
     fits = (F.abs(x["n"] - y["n"]) <= edits) & (x["home"] | y["home"]) & (index(x) | index(y)) & (x["id"] != y["id"])
     alike = F.when(fits, _alike(x["form"], y["form"], edits))
     here = F.when(alike, ~_earlier(x, y, F.greatest(x["spot"], y["spot"]), ~index(x), edits))
-    return F.when(here, within(x["form"], y["form"], edits))
+    if share is None:
+        return F.when(here, within(x["form"], y["form"], edits))
+    near, apart = F.lit(False), F.abs(x["n"] - y["n"])
+    for most in range(1, edits + 1):  # the greatest number that the share allows is tried
+        allowed = F.least(x["n"], y["n"]) * share >= most
+        near = F.when(allowed, (apart <= most) & within(x["form"], y["form"], most)).otherwise(near)
+    return F.when(here, near)
 
 
 #: Added to the numbers of a second block's rows, so that they differ from the first one's.
@@ -273,7 +279,7 @@ def _summary(left: Column, right: Column, edges: Column) -> Column:
     return F.flatten(F.transform(sets, lambda s: F.transform(s, lambda v: F.struct(name(v).alias("id"), links(v).alias("links"), name(F.array_min(s)).alias("to")))))
 
 
-def links(scratch: Scratch, docs: DataFrame, lines: DataFrame, edits: int) -> DataFrame:
+def links(scratch: Scratch, docs: DataFrame, lines: DataFrame, edits: int, share: float | None = None) -> DataFrame:
     """(id, links, to): how many other forms a line links to, in parts to be summed, and the edges of a forest.
 
     ``lines`` has a row for each form: id, line (a 64-bit hash of the form, by which lines are dealt) and the columns of ``keys``.
@@ -300,7 +306,7 @@ def links(scratch: Scratch, docs: DataFrame, lines: DataFrame, edits: int) -> Da
     left, right, own = F.col("left"), F.col("right"), F.col("own")
 
     def partners(x: Column) -> Column:
-        number = lambda y, k: F.when((~own | (x["id"] < y["id"])) & _linked(x, y, edits), k + F.when(own, 0).otherwise(_SECOND))
+        number = lambda y, k: F.when((~own | (x["id"] < y["id"])) & _linked(x, y, edits, share), k + F.when(own, 0).otherwise(_SECOND))
         return F.array_compact(F.transform(right, number))
 
     edges = F.filter(F.transform(left, lambda x, k: F.struct(k.alias("row"), partners(x).alias("partners"))), lambda e: F.size(e["partners"]) > 0)
@@ -308,8 +314,11 @@ def links(scratch: Scratch, docs: DataFrame, lines: DataFrame, edits: int) -> Da
     return scratch.cut(found.select("link.*"), "links")
 
 
-def judge(docs: DataFrame, edits: int = EDITS) -> tuple[Scratch, DataFrame]:
-    """(doc_id, place, keeper, links) for each line that has a copy or a link: ``keeper`` is the place of its class's kept line."""
+def judge(docs: DataFrame, edits: int = EDITS, share: float | None = None) -> tuple[Scratch, DataFrame]:
+    """(doc_id, place, keeper, links) for each line that has a copy or a link: ``keeper`` is the place of its class's kept line.
+
+    With ``share`` lines link only if the edits are no more than that share of the shorter one's characters.
+    """
     if edits not in (1, 2, 3):
         raise ValueError("edits must be 1, 2 or 3")
     scratch = Scratch(docs.sparkSession)
@@ -318,7 +327,7 @@ def judge(docs: DataFrame, edits: int = EDITS) -> tuple[Scratch, DataFrame]:
     # Buffers of fixed width only, so that this is a hash aggregation.
     of_form = [F.max(c).alias(c) for c in spots.columns if c not in ("doc_id", "pos", "id")]
     lines = scratch.cut(spots.groupBy("id").agg(F.count("*").alias("n"), F.min(_place()).alias("first"), *of_form), "lines", hashes=True)
-    linked = links(scratch, docs, lines, edits)
+    linked = links(scratch, docs, lines, edits, share)
     classes = components(scratch, linked.select(F.col("id").alias("a"), F.col("to").alias("b")))
     degree = linked.groupBy("id").agg(F.sum("links").alias("links"))
     in_class = classes.withColumnRenamed("node", "id").join(lines.select("id", "first"), "id").join(degree, "id")
@@ -332,9 +341,9 @@ def judge(docs: DataFrame, edits: int = EDITS) -> tuple[Scratch, DataFrame]:
     return scratch, spots.select("doc_id", _place().alias("place"), "id").join(known.hint("merge"), "id").select("doc_id", "place", "keeper", "links")
 
 
-def report(docs: DataFrame, edits: int = EDITS) -> DataFrame:
+def report(docs: DataFrame, edits: int = EDITS, share: float | None = None) -> DataFrame:
     """For each row: doc_id, n_lines, n_links (links of its lines to other line forms), removed (places), kept_by (doc_id for each)."""
-    scratch, spots = judge(docs, edits)
+    scratch, spots = judge(docs, edits, share)
     gone = F.when(F.col("place") != F.col("keeper"), F.struct(_decode(F.col("place"))[1].alias("pos"), _decode(F.col("keeper"))[0].alias("doc_id")))
     per = spots.groupBy("doc_id").agg(F.sum("links").alias("links"), F.array_sort(F.collect_set(gone)).alias("gone"))
     per = scratch.cut(per.withColumnRenamed("doc_id", "id"), "per")
@@ -348,9 +357,9 @@ def report(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     )
 
 
-def remove(docs: DataFrame, edits: int = EDITS) -> DataFrame:
+def remove(docs: DataFrame, edits: int = EDITS, share: float | None = None) -> DataFrame:
     """The rows of ``docs`` without the removed lines; a document that had lines and keeps none with content goes."""
-    scratch, spots = judge(docs, edits)
+    scratch, spots = judge(docs, edits, share)
     gone = spots.where(F.col("place") != F.col("keeper")).select("doc_id", _decode(F.col("place"))[1].alias("pos"))
     per = scratch.cut(gone.groupBy("doc_id").agg(F.collect_set("pos").alias("__gone")).withColumnRenamed("doc_id", "__id"), "per")
     scratch.drop("spots", "known")
