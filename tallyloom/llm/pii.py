@@ -168,7 +168,8 @@ def find(docs: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
 def digest_columns(found: DataFrame) -> DataFrame:
     """The columns of the driver's query."""
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-    return found.select("doc_id", *map(count, KINDS), F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+    more = [(F.size("spans") - F.size("base")).cast("long").alias("n_term"), (F.size("spans") > 0).alias("has_private")]
+    return found.select("doc_id", *map(count, KINDS), F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), *more)
 
 
 def sanitise(docs: DataFrame, **limits) -> DataFrame:
