@@ -14,8 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import shared_folder
 
-#: Uses of a relation, counted through all that build on it, from which on it is written: aggregates are small, so
-#: theirs is the lower one.
+#: A statement is heavy if it would compute some relation this often; others cost less as they are, for Spark prunes what
+#: it scans again and reuses equal exchanges.
+HEAVY = 6
+#: Uses of a relation, counted through all that build on it, from which on a heavy statement's is written: aggregates are
+#: small, so theirs is the lower number.
 USES, AGGREGATE_USES = 4, 3
 
 
@@ -55,8 +58,10 @@ def uses(parts: list[tuple[str, str]], rest: str) -> dict[str, tuple[int, int]]:
 
 def chosen(parts: list[tuple[str, str]], rest: str) -> set[str]:
     """The relations that are worth writing."""
-    out = set()
-    for name, (places, times) in uses(parts, rest).items():
+    out, count = set(), uses(parts, rest)
+    if max((times for _, times in count.values()), default=0) < HEAVY:
+        return out
+    for name, (places, times) in count.items():
         body = dict(parts)[name]
         least = AGGREGATE_USES if re.search(r"\bGROUP BY\b", body) else USES if re.search(r"\b(JOIN|OVER)\b", body) else None
         if least and places >= 2 and times >= least:

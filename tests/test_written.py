@@ -1,11 +1,18 @@
 """Relations that are written once."""
 
+import pytest
+
 from tallyloom.plans import money, written
 from tallyloom.plans.dialect import SPARK
 
 SQL = "WITH a AS (SELECT k, sum(v) AS v, 'x, (y' AS q FROM t GROUP BY k), b AS (SELECT k FROM a WHERE v > (SELECT avg(v) FROM a)), c AS (SELECT k FROM t) SELECT a.k, a.v FROM a JOIN b ON a.k = b.k JOIN c ON c.k = a.k"
 
 
+@pytest.fixture(autouse=True)
+def few_uses(monkeypatch):
+    monkeypatch.setattr(written, "HEAVY", 3)
+
+
 def test_relations_and_their_uses():
     parts, rest = written.split(SQL)
     assert [n for n, _ in parts] == ["a", "b", "c"] and rest.strip().startswith("SELECT a.k")
