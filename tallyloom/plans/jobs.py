@@ -66,9 +66,12 @@ ALIASES = {"north": ["click", "clicks"], "south": ["view"], "west": ["purchase",
 @query("""SELECT user_id AS brand, arg_max(event_type, value) AS tag, CASE arg_max(event_type, value) WHEN 'click' THEN 'north' WHEN 'view' THEN 'south' WHEN 'purchase' THEN 'west' END AS partner,
 CASE WHEN arg_max(event_type, value) IN ('click', 'view', 'purchase') THEN NULL WHEN arg_max(event_type, value) = 'signup' THEN 'own house' ELSE 'unknown tag' END AS reason FROM events GROUP BY user_id""")
 def referral_tags(spark, d):
-    e = read(spark, d, "events").groupBy(F.col("user_id").alias("brand")).agg(F.max_by("event_type", "value").alias("tag"))
+    """The tag of a brand's greatest value, of ties the first event's; a tag or value that is null tells nothing."""
+    first = F.struct("value", (-F.col("event_id")).alias("first"))
+    rank = F.when(F.col("event_type").isNotNull() & F.col("value").isNotNull(), first)
+    e = read(spark, d, "events").groupBy(F.col("user_id").alias("brand")).agg(F.max_by("event_type", rank).alias("tag"))
     partner, reason = M.referral(F.concat(F.lit(" "), F.upper("tag"), F.lit(".")), ALIASES, houses=["signup"])
-    return e.select("brand", "tag", partner.alias("partner"), reason.alias("reason"))
+    return e.select("brand", "tag", partner.alias("partner"), F.when(F.col("tag").isNull(), "unknown tag").otherwise(reason).alias("reason"))
 
 
 @query("""WITH p AS (SELECT user_id AS brand, max(value) FILTER (WHERE event_type = 'click') AS click, max(value) FILTER (WHERE event_type = 'view') AS view, max(value) FILTER (WHERE event_type = 'purchase') AS purchase FROM events GROUP BY user_id)

@@ -49,3 +49,14 @@ def test_query(spark, duck, sf, name):
 
 def test_all_have_oracles():
     assert set(registry.queries()) == set(registry.oracle_sql())
+
+
+def test_referral_tags_of_ties_and_nulls(spark, tmp_path):
+    """Of tied values the first event's tag counts, as in a scan by one thread; null tags and values are passed over."""
+    c = duckdb.connect(config={"threads": 1})
+    c.sql("""CREATE TABLE events AS SELECT i AS event_id, TIMESTAMP '2024-01-01' + to_seconds(i) AS ts, i % 200 AS user_id, CASE WHEN i % 7 > 0 THEN ['click', 'view', 'purchase', 'signup', 'error'][1 + (hash(i) % 5)::INT] END AS event_type,
+    CASE WHEN i % 200 > 4 AND i % 11 > 0 THEN ((hash(i + 1) % 3)::INT / 4.0)::DOUBLE END AS value, '' AS props FROM range(4000) t(i) ORDER BY i""")
+    c.sql(f"COPY events TO '{tmp_path}/events.parquet'")
+    got = registry.queries()["q_referral_tags"](spark, str(tmp_path)).select("brand", "tag", "partner", "reason").collect()
+    want = c.sql(f"SELECT brand, tag, partner, reason FROM ({registry.oracle_sql()['q_referral_tags']})").fetchall()
+    assert sorted(map(tuple, got)) == sorted(want, key=lambda r: r[0]) and len(got) == 200
