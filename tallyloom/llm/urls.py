@@ -3,7 +3,8 @@
 Each url becomes a set of tokens: all suffixes of its host, its first label, directories, words of the last part of its
 path, extension, query keys and values, fragment, scheme; digits are masked.  Spark's FP-growth mines combinations
 together with the label.  As the combinations of a set double with each token, it gets baskets: the first ``BASKET``
-tokens, and the others some at a time, each time with the first two, so every token is mined.  The rules it finds are
+tokens, and the others some at a time, each time with the first two, so every token is mined.  Combinations of tokens
+that stand in different baskets of a url are found level by level (``across``), so none is left out.  All rules are
 counted once more over whole token sets; those that conclude a verdict and pass ``MIN_SUPPORT`` and ``MIN_CONFIDENCE``
 are kept, unless a rule with fewer tokens is as sure.  Rules match by an inverted index: a rule is listed under the one
 of its tokens that the fewest urls have, and matches a url with that token if it has the others too.  The surest rule
@@ -19,6 +20,7 @@ columns are ignored; an empty table gives an empty table.
 from __future__ import annotations
 
 import string
+from collections.abc import Iterator
 
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
@@ -90,20 +92,62 @@ def baskets(tokens: Column) -> Column:
     return F.concat(F.array(F.slice(tokens, 1, BASKET)), F.when(F.size(rest) > 0, more).otherwise(F.array().cast("array<array<string>>")))
 
 
+def across(scratch: Scratch, sets: DataFrame, least: float) -> Iterator[DataFrame]:
+    """Tables of combinations (items) that no basket of some url holds whole, by their number of tokens.
+
+    ``sets`` has tokens, verdict and rows.  Level by level from the pairs of tokens that some url has in different
+    baskets, each combination with at least ``least`` rows of a verdict is grown by every other token that a url with
+    it has.  Left out are only those that ``_minimal`` drops: with a part that has one verdict only, or a smaller part
+    in the same rows.
+    """
+    of, most = F.sum("n").alias("of"), F.max("n").alias("most")
+    enough, open_ = F.col("most") >= least, F.col("of") > F.col("most")
+    single = sets.select(F.explode("tokens").alias("token"), "verdict", "rows").groupBy("token", "verdict").agg(F.sum("rows").alias("n"))
+    single = scratch.cut(single.groupBy("token").agg(of, most).where(enough & open_).select("token"), "single")
+    placed = sets.withColumn("set", F.struct("tokens", "verdict")).select("set", "verdict", "rows", F.posexplode("tokens").alias("place", "token")).join(single, "token")
+    placed = placed.groupBy("set").agg(F.first("verdict").alias("verdict"), F.first("rows").alias("rows"), F.array_sort(F.collect_list(F.struct("place", "token"))).alias("placed"))
+    placed = scratch.cut(placed.drop("set"), "placed")
+    step = BASKET - 2
+    basket = lambda x: F.floor((x["place"] - BASKET) / step)
+    parted = lambda x, y: (x["place"] > 1) & (y["place"] >= BASKET) & ((x["place"] < BASKET) | (basket(x) < basket(y)))
+    pairs = F.flatten(F.transform("placed", lambda x: F.transform(F.filter("placed", lambda y: parted(x, y)), lambda y: F.array_sort(F.array(x["token"], y["token"])))))
+    pairs = placed.where(F.element_at("placed", -1)["place"] >= BASKET).select(F.explode(pairs).alias("items")).distinct()
+    whole = placed.groupBy(F.array_sort(F.transform("placed", lambda x: x["token"])).alias("tokens"), "verdict").agg(F.sum("rows").alias("rows"))
+    whole = scratch.cut(whole.withColumn("key", F.struct("tokens", "verdict")), "whole")
+    named = F.concat_ws("\x01", "items").alias("rule_id")
+    level = scratch.cut(pairs.select("items", named), "level")
+    hits = _matches(whole, level).join(whole.select("key", "rows"), "key").groupBy("items", "key.verdict").agg(F.sum("rows").alias("n"))
+    level = scratch.cut(hits.groupBy("items").agg(of, most).where(enough), "level")
+    while level.take(1):
+        yield level
+        grow = _matches(whole, level.where(open_).select("items", named, F.col("of").alias("part"))).join(whole.select("key", "rows"), "key")
+        grow = grow.select("rule_id", "part", "rows", F.col("key.verdict").alias("verdict"), "items", F.explode(F.array_except("key.tokens", "items")).alias("token"))
+        grow = grow.select("rule_id", "part", "rows", "verdict", F.array_sort(F.array_append("items", F.col("token"))).alias("items"))
+        # A combination is grown from several parts, from each with all of its rows.
+        grow = grow.groupBy("items", "rule_id", "part", "verdict").agg(F.sum("rows").alias("n")).groupBy("items", "rule_id", "part").agg(of, most)
+        grow = grow.groupBy("items").agg(F.first("of").alias("of"), F.first("most").alias("most"), F.min("part").alias("part"))
+        level = scratch.cut(grow.where(enough & (F.col("of") < F.col("part"))).drop("part"), "level")
+
+
 def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """(rule_id, items, size, verdict, confidence, support) from (tokens, verdict).
 
-    A url's further baskets repeat its verdict, so what FP-growth finds there are candidates; support and confidence
-    are counted anew over the distinct whole token sets, each with its number of rows.
+    A url's further baskets repeat its verdict, so what FP-growth finds there are candidates, as are the combinations
+    of tokens from more than one basket (``across``); support and confidence are counted anew over the distinct whole
+    token sets, each with its number of rows.
     """
+    scratch = Scratch(labelled.sparkSession)
     dealt = labelled.select("verdict", F.explode(baskets(F.col("tokens"))).alias("some")).select(F.array_append("some", F.concat(F.lit("verdict="), "verdict")).alias("items"))
-    sets = labelled.groupBy("tokens", "verdict").agg(F.count("*").alias("rows"))
+    sets = scratch.cut(labelled.groupBy("tokens", "verdict").agg(F.count("*").alias("rows")), "sets")
     total = labelled.count()
     least = min_support * total / max(1, dealt.count())  # the same number of rows, as a share of the baskets
-    model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=0.0).fit(dealt)
+    model = FPGrowth(itemsCol="items", minSupport=least * (1 - 1e-9), minConfidence=0.0).fit(dealt)
     found = model.freqItemsets.where(F.exists("items", lambda x: x.startswith("verdict=")) & (F.size("items") > 1))
     rules = found.select(F.array_sort(F.filter("items", lambda x: ~x.startswith("verdict="))).alias("items"), F.substring(F.filter("items", lambda x: x.startswith("verdict="))[0], 9, 1000).alias("verdict"))
-    rules = rules.withColumn("size", F.size("items")).withColumn("rule_id", F.concat_ws("\x01", "items", "verdict"))
+    verdicts = sets.select("verdict").distinct()
+    for level in across(scratch, sets, min_support * total):
+        rules = rules.union(level.select("items").crossJoin(verdicts))
+    rules = scratch.cut(rules.distinct().withColumn("size", F.size("items")).withColumn("rule_id", F.concat_ws("\x01", "items", "verdict")), "candidates")
     each = sets.withColumn("key", F.struct("tokens", "verdict"))
     hits = _matches(each.select("key", "tokens"), rules).join(each.select("key", "rows"), "key")
     counts = hits.groupBy("rule_id").agg(F.sum("rows").alias("of"), F.sum(F.when(F.col("key.verdict") == F.col("verdict"), F.col("rows")).otherwise(0)).alias("hits"))

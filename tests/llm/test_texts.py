@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import re
 import struct
 import zlib
@@ -424,6 +425,29 @@ def test_all_parts_of_a_url_are_tokens_and_are_mined(spark):
         assert {t for b in r.baskets for t in b} == set(r.tokens) and all(len(b) <= urls.BASKET for b in r.baskets)
 
 
+def test_combinations_across_baskets_are_mined(spark):
+    """All minimal rules of up to four tokens, counted in plain loops; what decides stands in two or three baskets."""
+    rng = np.random.default_rng(7)
+    sets = []
+    for k in range(400):
+        u, v, w = rng.integers(0, 2, 3)
+        verdict = "block" if (u and v and w) or (k % 3 and u and not v and not w) else "allow"
+        tokens = [f"a{i}" for i in range(9)] + [f"u{u}"] + [f"b{i}" for i in range(7)] + [f"v{v}"] + [f"c{i}" for i in range(6)] + [f"w{w}", f"x{rng.integers(0, 3)}"]
+        sets.append((tokens[k % 2 :], verdict))
+    mined = urls._minimal(urls.mine(spark.createDataFrame(sets, "tokens array<string>, verdict string"), 0.02, 0.8)).collect()
+    got = {(frozenset(r["items"]), r.verdict): (r.confidence, r.support) for r in mined}
+    names, of = sorted({t for s, _ in sets for t in s} - {f"{c}{i}" for c in "abc" for i in range(9) if (c, i) != ("a", 0)}), {}
+    for n in range(1, 5):
+        for items in map(frozenset, itertools.combinations(names, n)):
+            hit = [v for t, v in sets if items <= set(t)]
+            for verdict in ("allow", "block"):
+                if (n_hits := hit.count(verdict)) >= 0.02 * 400 and n_hits >= 0.8 * len(hit):
+                    of[items, verdict] = n_hits / len(hit), n_hits / 400
+    want = {k: x for k, x in of.items() if not any(p < k[0] and v == k[1] and of[p, v][0] >= x[0] for p, v in of)}
+    assert (frozenset(["u1", "v1", "w1"]), "block") in want and {k: x for k, x in got.items() if k in want} == want
+    assert {k for k in got if len(k[0]) <= 4 and k[0] <= set(names)} == set(want)
+
+
 def test_verdicts_of_unruled_urls_against_brute_force(spark):
     """Rules counted and ranked in plain loops; what gives a url away stands deep in its path and query."""
     rng = np.random.default_rng(6)
