@@ -15,7 +15,8 @@ empty) within ``EDITS`` edits of each other are linked:
 * A line of length m may have a partner from m - EDITS on, so if that reaches into the class below, it has that class's
   keys too, as a guest.  Guests are not compared with each other, for their own class does that.
 * Lines that share a key meet in blocks of ``BLOCK`` rows, each two in one pair of blocks.  A pair of blocks yields, for
-  each line, how many it links to, and a forest; never the pairs.  A pair is first held to EIGHTHS (all but EDITS of
+  each line, how many it links to, and a forest; never the pairs.  A pair is first held to ``parity`` (two edits flip
+  four bits at most; few lines that merely share a segment come so near), then to EIGHTHS (all but EDITS of
   them must recur within EDITS places), then verified by a banded bit-parallel edit distance: one column of the band is
   one machine word.  Two lines that share several keys count under the first one only.
 
@@ -199,6 +200,12 @@ def _alike(a: Column, b: Column, edits: int) -> Column:
     return found >= EIGHTHS - edits
 
 
+def parity(form: Column) -> Column:
+    """A bit for each class of characters: whether their number is odd.  An edit flips two bits at most."""
+    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), F.ascii(c) % 64)
+    return F.aggregate(F.split(form, ""), F.lit(0).cast("long"), lambda bits, c: bits.bitwiseXOR(bit(c)))
+
+
 def _place() -> Column:
     """A number that orders lines by (doc_id, nulls last, number of the line)."""
     doc = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit(str(1 << 63)).cast("decimal(20,0)"))
@@ -242,7 +249,7 @@ def _linked(x: Column, y: Column, edits: int, share: float | None) -> Column:
     """Whether two entries of a key are a link that counts here: ``edits`` apart at most, and ``share`` of the shorter line."""
     first_of = F.array(*[F.lit(s == 0) for _, s in spots(edits)])
     index = lambda e: F.element_at(first_of, e["spot"] + 1)
-    fits = (F.abs(x["n"] - y["n"]) <= edits) & (x["home"] | y["home"]) & (index(x) | index(y)) & (x["id"] != y["id"])
+    fits = (F.bit_count(x["odd"].bitwiseXOR(y["odd"])) <= 2 * edits) & (F.abs(x["n"] - y["n"]) <= edits) & (x["home"] | y["home"]) & (index(x) | index(y)) & (x["id"] != y["id"])
     alike = F.when(fits, _alike(x["form"], y["form"], edits))
     here = F.when(alike, ~_earlier(x, y, F.greatest(x["spot"], y["spot"]), ~index(x), edits))
     if share is None:
@@ -294,12 +301,12 @@ def links(scratch: Scratch, docs: DataFrame, lines: DataFrame, edits: int, share
     # The forms of the lines that met another.
     forms = maybe_in(formed(docs).select("form", F.xxhash64("form").alias("line")), "line", met.select("line"))
     texts = forms.withColumn("id", F.unhex(F.md5("form"))).groupBy("line", "id").agg(F.first("form").alias("form"))
-    texts = texts.withColumn("n", F.length("form")).withColumn("least", _class(F.col("n"), edits)).withColumn("size", _size(F.col("least"), edits))
+    texts = texts.withColumn("n", F.length("form")).withColumn("least", _class(F.col("n"), edits)).withColumn("size", _size(F.col("least"), edits)).withColumn("odd", parity(F.col("form")))
     texts = scratch.cut(texts, "texts")
     met = block_pairs(met, "key", "line", "m", BLOCK).join(texts.hint("merge"), "line")
     # As many tasks as the session has, for the work is in the pairs, not in the bytes by which tasks are merged.
     met = met.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key", "block_i", "block_j")
-    groups = met.groupBy("key", "block_i", "block_j").agg(F.collect_list(F.struct("block", "spot", "home", "id", "n", "least", "size", "form")).alias("rows"))
+    groups = met.groupBy("key", "block_i", "block_j").agg(F.collect_list(F.struct("block", "spot", "home", "id", "n", "least", "size", "odd", "form")).alias("rows"))
     part = lambda c: F.filter("rows", lambda r: r["block"] == F.col(c))
     own = F.col("block_i") == F.col("block_j")
     groups = groups.select(own.alias("own"), part("block_i").alias("left"), part("block_j").alias("right"))

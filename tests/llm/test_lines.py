@@ -173,3 +173,17 @@ def test_a_hot_key_goes_by_blocks(spark, monkeypatch):
     for block in (7, 128):
         monkeypatch.setattr(lines, "BLOCK", block)
         assert {r.doc_id: (r.n_links, r.removed) for r in lines.report(docs).collect()} == brute(rows)
+
+
+def test_parity_holds_what_edits_allow_and_little_else(spark):
+    """A pair within some edits never differs by more bits than twice their number; lines that share a segment mostly do."""
+    rng = random.Random(4)
+    words = ["".join(rng.choice("etaoinshrdlué日\U0001f600") for _ in range(rng.randint(2, 9))) for _ in range(200)]
+    near, far = [], []
+    for _ in range(300):
+        line = " ".join(rng.choice(words) for _ in range(8))
+        near += [(line, edited(rng, line, n), n) for n in (0, 1, 2, 3)]
+        far.append((line, " ".join([*line.split(" ")[:3], *(rng.choice(words) for _ in range(5))]), 2))
+    flips = F.bit_count(lines.parity(F.col("a")).bitwiseXOR(lines.parity(F.col("b"))))
+    count = lambda rows: spark.createDataFrame(rows, "a string, b string, n int").where(flips <= 2 * F.col("n")).count()
+    assert count(near) == len(near) and count(far) < 0.4 * len(far)
