@@ -3,14 +3,16 @@
 1. Equal vectors with equal labels become one class (pre-aggregated, so a vector that a third of all rows hold is one
    row from then on).
 2. Spherical k-means on a bounded sample gives sets of 1, 4, 16, .. cells.  A label's classes are only compared with each
-   other, so each label uses the smallest set that leaves ``CELL_ROWS`` of its classes a cell at most, on average.
+   other, so each label uses the smallest set that leaves ``CELL_ROWS`` of its classes a cell at most, on average, or a
+   smaller set if that leaves fewer pairs to compare (``worth``): cells that most vectors must visit only cost.
 3. A class belongs to its nearest cell, and visits each later-numbered cell in which a partner may lie.  All of cell d
    lies on its side of the border to each other cell e, and x lies asin((x.e - x.d) / |e - d|) beyond that border; a
    vector with cosine t or more is at most acos(t) away.  So x need not visit d if for some e that is more than
    sin(acos(t)); the ``NEAREST`` cells of x are tried as e.  No pair is missed, however the vectors lie.
-4. Rows of a (label, cell) meet in blocks of ``BLOCK`` rows, each two in just one pair of blocks, so no task ever holds
+4. Rows of a (label, cell) meet in blocks of ``BLOCK_BYTES``, each two in just one pair of blocks, so no task ever holds
    more than two blocks however many rows a cell has.  A block pair gives, per row, how many vectors it links to, and
-   the edges of a spanning forest: as many rows as it got at most.
+   the edges of a spanning forest: as many rows as it got at most.  Vectors are written once, with their class; they join
+   the narrow rows of visits on the way to their blocks, in single precision if they came in it.
 5. Components of those edges give the groups.
 
 Defined results: vectors that are null, empty, zero, or hold a null or a non-finite component, and rows whose label is
@@ -34,9 +36,10 @@ THRESHOLD = 0.93
 CELL_ROWS = 2048  #: classes a cell, on average, at most (beyond MOST_CELLS cells there are more)
 MOST_CELLS = 4096
 SAMPLE_ROWS = 32_768  #: classes that the cells are fitted on
+SAMPLE_VISITS = 2048  #: classes whose visits tell which set of cells leaves the fewest pairs
 ROUNDS = 8
 NEAREST = 4
-BLOCK = 2048
+BLOCK_BYTES = 1 << 23  #: a block in double precision; the larger, the fewer copies of a vector are shuffled
 
 
 def kmeans(x: np.ndarray, cells: int, rounds: int = ROUNDS, seed: int = 3) -> np.ndarray:
@@ -97,8 +100,20 @@ def cells_of(x: np.ndarray, c: np.ndarray, threshold: float) -> tuple[np.ndarray
     return home, visits
 
 
+def worth(x: np.ndarray, centroids: list[np.ndarray], threshold: float) -> list[int]:
+    """For each set of cells the one up to it that leaves the fewest pairs to compare, by the visits of some vectors."""
+    out, least = [], np.inf
+    for k, c in enumerate(centroids):
+        home, visits = cells_of(x, c, threshold)
+        each = (visits & (np.arange(len(c))[None, :] >= home[:, None])).sum(axis=0) / len(x)
+        work = float((each**2).sum())
+        out.append(k if work < least else out[-1])
+        least = min(least, work)
+    return out
+
+
 def _visits(classes: DataFrame, centroids: dict[int, list[np.ndarray]], threshold: float) -> DataFrame:
-    """(label, dims, cell, home, rep, n, embedding): a row for each cell that a class belongs to or visits."""
+    """(label, dims, cell, home, digest): a row for each cell that a class belongs to or visits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -117,11 +132,11 @@ def _visits(classes: DataFrame, centroids: dict[int, list[np.ndarray]], threshol
                         r, k = row[lo : lo + 20_000], cell[lo : lo + 20_000]
                         got = part.take(pa.array(r))
                         yield pa.RecordBatch.from_arrays(
-                            [got.column(n).combine_chunks() for n in ("label", "dims", "rep", "n", "embedding")] + [pa.array(k.astype(np.int32)), pa.array(home[r] == k)],
-                            names=["label", "dims", "rep", "n", "embedding", "cell", "home"],
+                            [got.column(n).combine_chunks() for n in ("label", "dims", "digest")] + [pa.array(k.astype(np.int32)), pa.array(home[r] == k)],
+                            names=["label", "dims", "digest", "cell", "home"],
                         )
 
-    return classes.select("label", "dims", "level", "rep", "n", "embedding").mapInArrow(run, f"label {dict(classes.dtypes)['label']}, dims int, rep long, n long, embedding array<double>, cell int, home boolean")
+    return classes.select("label", "dims", "level", "digest", "embedding").mapInArrow(run, f"label {dict(classes.dtypes)['label']}, dims int, digest binary, cell int, home boolean")
 
 
 def _compare(threshold: float):
@@ -133,7 +148,7 @@ def _compare(threshold: float):
         block, home = t.column("block").to_numpy(), t.column("home").to_numpy()
         rep, n = t.column("rep").to_numpy(), t.column("n").to_numpy()
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        links, sets, chunk = np.zeros(len(rep), np.int64), Union(len(rep)), 512
+        links, sets, chunk = np.zeros(len(rep), np.int64), Union(len(rep)), max(16, (1 << 21) // max(1, len(right)))
         for at in range(0, len(left), chunk):
             l_rows = left[at : at + chunk]
             a, b = np.nonzero((x[l_rows] @ x[right].T >= threshold) & (home[l_rows][:, None] | home[right][None, :]))
@@ -152,15 +167,16 @@ def _compare(threshold: float):
     return pair
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, cell_rows: int = CELL_ROWS, block: int = BLOCK) -> DataFrame:
+def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, cell_rows: int = CELL_ROWS, block: int | None = None) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each row of ``vectors`` (vec_id, embedding, label)."""
     scratch = Scratch(vectors.sparkSession)
     e = F.col("embedding")
     odd = F.exists(e, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     usable = F.coalesce(F.col("label").isNotNull() & (F.size(e) > 0) & ~odd & F.exists(e, lambda v: v != 0), F.lit(False))
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "label", e.cast("array<double>").alias("embedding"), usable.alias("usable"))
-    digest = F.sha2(F.concat_ws(",", F.col("label").cast("string"), F.col("embedding").cast("array<string>")), 256)
-    rows = scratch.cut(rows.withColumn("digest", F.when(F.col("usable"), digest)), "rows", hashes=True)
+    single = dict(vectors.dtypes)["embedding"] == "array<float>"
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "label", e.cast("array<float>" if single else "array<double>").alias("embedding"), usable.alias("usable"))
+    digest = F.unhex(F.sha2(F.concat_ws(",", F.col("label").cast("string"), F.col("embedding").cast("array<string>")), 256))
+    rows = rows.withColumn("digest", F.when(F.col("usable"), digest))
     usable_rows = rows.where("usable")
     classes = usable_rows.groupBy("digest").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.first("label").alias("label"), F.first("embedding").alias("embedding"))
     classes = scratch.cut(classes.where("rep is not null").withColumn("dims", F.size("embedding")), "classes", hashes=True)
@@ -170,16 +186,24 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, cell_rows:
         level = F.when(F.col("m") <= sizes[k] * cell_rows, k).otherwise(level)
     by_label = scratch.cut(classes.groupBy("label", "dims").agg(F.count("*").alias("m")).select("label", "dims", level.alias("level")), "labels")
     centroids: dict[int, list[np.ndarray]] = {}
+    better: dict[int, list[int]] = {}
     for r in by_label.groupBy("dims").agg(F.max("level").alias("level")).collect():  # one row a vector length
         dims = r["dims"]
         sample = classes.where(F.col("dims") == dims).select("embedding", "digest").orderBy("digest").limit(SAMPLE_ROWS if r["level"] else 1).select("embedding").toArrow()
         x = _unit(_matrix(sample.column("embedding"), dims))
         centroids[dims] = [kmeans(x, n) for n in sizes[: r["level"] + 1]]
-    visits = scratch.cut(_visits(classes.join(by_label, ["label", "dims"]), centroids, threshold), "visits", hashes=True)
+        better[dims] = worth(x[:SAMPLE_VISITS], centroids[dims], threshold)
+    use = F.col("level")
+    for dims, levels_ in better.items():
+        for k, best in enumerate(levels_):
+            if best != k:
+                use = F.when((F.col("dims") == dims) & (F.col("level") == k), best).otherwise(use)
+    by_label = by_label.withColumn("level", use)
+    visits = scratch.cut(_visits(classes.join(by_label, ["label", "dims"]), centroids, threshold), "visits")
     by = ["label", "dims", "cell"]
     counts = visits.groupBy(*by).agg(F.count("*").alias("m"))
-    visits = visits.join(counts, by)
-    pairs = block_pairs(visits, "cell", "rep", "m", block)
+    size = F.greatest(F.lit(1), F.floor(F.lit(BLOCK_BYTES // 8) / F.col("dims"))) if block is None else block
+    pairs = block_pairs(visits.join(counts, by), "cell", "digest", "m", size).join(classes.select("digest", "rep", "n", "embedding"), "digest").drop("digest", "m")
     met = scratch.cut(map_groups(pairs, [*by, "block_i", "block_j"], _compare(threshold), "rep long, links long, to long"), "met")
     links = met.groupBy("rep").agg(F.sum("links").alias("links"))
     groups = components(scratch, met.select(F.col("rep").alias("a"), F.col("to").alias("b")))

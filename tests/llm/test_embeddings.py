@@ -93,3 +93,15 @@ def test_empty_and_clashing(spark):
     assert embeddings.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
     df = spark.createDataFrame([(1, [1.0], 1, 7, "x"), (1, [1.0], 1, 7, "y")], "vec_id long, embedding array<float>, label int, rep long, digest string")
     assert [tuple(r) for r in embeddings.near_duplicates(df).collect()] == [(1, 1, 1, True), (1, 1, 1, True)]
+
+
+def test_cells_are_used_only_where_they_separate():
+    """Vectors without clusters would visit most cells, each visit a copy on disk; tight clusters have a cell each."""
+    rng = np.random.default_rng(3)
+    plain = rng.standard_normal((1500, 64))
+    tight = rng.standard_normal((16, 64))[rng.integers(0, 16, 1500)] + 0.01 * rng.standard_normal((1500, 64))
+    best = []
+    for x in (plain, tight):
+        x = x / np.linalg.norm(x, axis=1, keepdims=True)
+        best.append(embeddings.worth(x, [embeddings.kmeans(x, n) for n in (1, 4, 16)], embeddings.THRESHOLD))
+    assert best[0] == [0, 0, 0] and best[1][2] > 0
